@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, license, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,21 @@ SELECT conv_id, count(*) AS n_turns,
   bool_and(ok) AS valid, coalesce(min(i) FILTER (NOT ok), -1) AS wrong_turn
 FROM judged GROUP BY conv_id
 """
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def toxicity_labels(labels: DataFrame) -> DataFrame:
+    """The rows that toxicity may learn from."""
+    return labels.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, toxicity_labels(table(spark, sf_dir, "labels")))
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    return toxicity.scored(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
