@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, license, toxicity
-from .common import table
+from . import chat, license, quality, toxicity
+from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +66,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, toxicity_labels(table(spark, sf_dir, "labels")))
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
     return toxicity.scored(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    stats = written(quality.measured(docs).drop("text"), "quality")
+    estimates, n_groups = quality.fit(stats)
+    return quality.judged(stats, estimates, n_groups).select("doc_id", *quality.COUNTS, "base_failed", "kept", "d2")
