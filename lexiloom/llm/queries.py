@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, license, quality, toxicity
+from . import chat, langid, license, quality, toxicity
 from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = written(quality.measured(docs).drop("text"), "quality")
     estimates, n_groups = quality.fit(stats)
     return quality.judged(stats, estimates, n_groups).select("doc_id", *quality.COUNTS, "base_failed", "kept", "d2")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out))
+    return langid.predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
