@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, license, packing, quality, toxicity
+from . import chat, html, langid, license, packing, quality, toxicity
 from .common import table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     how = packing.default_packing()
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), how), how)
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
