@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Text bytes that one step inside a Python worker handles at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 3 << 19
 _own_dirs: dict[str, str] = {}
 
 
@@ -61,13 +61,25 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = CHUNK_BYTES
             start = stop
 
 
-def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str) -> DataFrame:
+def give_back_memory() -> None:
+    """Python workers live on after a task: what it freed goes back to the system, where the C library can do that."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def arrow_map(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: str, most: int = CHUNK_BYTES) -> DataFrame:
     """df.mapInArrow over slices of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, text):
+        for part in chunks(batches, text, most):
             if (out := step(part)) is not None:
                 yield out
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -96,7 +108,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembered up to a fixed number of words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         import xxhash
 
         self._hash, self._most, self._known = xxhash.xxh3_64_intdigest, most, {}

@@ -36,6 +36,8 @@ from .common import alnum_words, arrow_map, byte_list, written
 class Search:
     window: int = 10
     sample: int = 16
+    #: Text bytes of a shard, about.
+    shard_bytes: int = 3 << 20
     #: Text bytes of the items of one block of phrases, which is broadcast.
     block_bytes: int = 16 << 20
 
@@ -255,7 +257,7 @@ def _searched(docs: DataFrame, items: list[tuple[str, bytes]], how: Search, text
         new = [pa.array(sizes), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(names, pa.list_(pa.string()))]
         return pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *(f.name for f in RESULT)])
 
-    return arrow_map(docs, step, T.StructType([*docs.schema.fields, *RESULT]), text)
+    return arrow_map(docs, step, T.StructType([*docs.schema.fields, *RESULT]), text, how.shard_bytes)
 
 
 def item_blocks(benchmark: DataFrame, how: Search) -> Iterator[list[tuple[str, bytes]]]:
