@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, alnum_words, arrow_map, byte_list, mix64
+from .common import WordHashes, alnum_words, arrow_map, byte_list, give_back_memory, mix64
 
 
 @dataclass(frozen=True)
@@ -65,14 +65,13 @@ def fit(texts: list[bytes | None], labels: np.ndarray, how: Fit = Fit()) -> Mode
     if not len(labels):
         return Model(how.bits, -30.0, np.zeros(0, np.int32), np.zeros(0, np.float32))
     hashes, size = WordHashes(), 1 << how.bits
-    coord, counts = [], []
+    own: list[np.ndarray] = []  # distinct coordinates of each document
     for at in range(0, len(texts), 256):
         part = texts[at : at + 256]
         o, c = features(part, hashes, how.bits)
         key = np.unique(o.astype(np.int64) << 32 | c)
-        counts.append(np.bincount(key >> 32, minlength=len(part)))
-        coord.append((key & 0xFFFFFFFF).astype(np.int32))
-    coords, bounds = np.concatenate(coord), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        ends = np.searchsorted(key, np.arange(1, len(part)) << 32)
+        own += np.split((key & 0xFFFFFFFF).astype(np.int32), ends)
     z, n = np.zeros(size), np.zeros(size)
     share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
     bias, bias_n = float(np.log(share / (1 - share))), 0.0
@@ -84,7 +83,7 @@ def fit(texts: list[bytes | None], labels: np.ndarray, how: Fit = Fit()) -> Mode
     held = np.arange(len(labels)) % 5 == 4
     for _ in range(how.epochs):
         for i in np.flatnonzero(~held):
-            idx = coords[bounds[i] : bounds[i + 1]]
+            idx = own[i]
             zi, ni = z[idx], n[idx]
             w = weights(zi, ni)
             p = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -30, 30)))
@@ -96,7 +95,7 @@ def fit(texts: list[bytes | None], labels: np.ndarray, how: Fit = Fit()) -> Mode
             bias -= 0.05 * g / (1 + np.sqrt(bias_n))
     w = weights(z, n)
     index = np.flatnonzero(w).astype(np.int32)
-    logit = np.array([w[coords[bounds[i] : bounds[i + 1]]].sum() + bias for i in np.flatnonzero(held)])
+    logit = np.array([w[own[i]].sum() + bias for i in np.flatnonzero(held)])
     slope, offset = calibrated(logit, labels[held])
     return Model(how.bits, slope * bias + offset, index, (slope * w[index]).astype(np.float32))
 
@@ -138,7 +137,12 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), label: str = "to
     got = texts.column("doc_id").to_numpy()
     order = np.lexsort((np.arange(len(got)), mix64(got.astype(np.uint64))))
     data = byte_list(texts.column("text"))
-    return fit([data[i] for i in order], np.array([y_of[got[i]] for i in order], np.float64), how)
+    del texts
+    y = np.array([y_of[got[i]] for i in order], np.float64)
+    model = fit([data[i] for i in order], y, how)
+    del data
+    give_back_memory()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, column: str = "score", text: str = "text") -> DataFrame:
