@@ -47,7 +47,7 @@ class Near:
     #: Ids of candidate classes up to this number (8 bytes each) are broadcast; beyond it texts are joined by shuffle.
     max_broadcast: int = 2_000_000
     #: Buckets are compared in blocks of so many classes.
-    block: int = 1024
+    block: int = 256
 
 
 def shingles(texts: list[bytes | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
