@@ -6,9 +6,9 @@ r"""Main text of web pages by wrapper induction over pages of one host.
    lies on many tasks. Each page is aligned with the page before it, if that is of the same
    host, by simple tree matching; matched nodes of equal text count as constant for their
    path (labels from the root), others as varying.
-3. A path that is constant in nearly all alignments of a host is template; varying slots are
-   content. In a page, the content lies in its landmark (article, main) or, without one, in
-   the smallest subtree that holds most of the varying text. Menus, headers, footers,
+3. A block whose path is constant in nearly all alignments of a host is template; varying
+   slots are content. In a page, the content lies in its landmark (article, main; all of it)
+   or, without one, in the smallest subtree that holds most of the varying text. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by their
    tags and labels, also where their text varies.
 
@@ -78,8 +78,16 @@ class Node:
     def children(self) -> list[Node]:
         return [x for x in self.parts if isinstance(x, Node)]
 
-    def own_text(self) -> str:
-        return _SPACE.sub(" ", " ".join(x for x in self.parts if isinstance(x, str))).strip()
+    def block_text(self) -> str:
+        """Text of the node and of the inline elements in it."""
+        out, todo = [], list(reversed(self.parts))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                out.append(x)
+            elif x.tag not in BLOCK and x.tag not in RAW:
+                todo.extend(reversed(x.parts))
+        return _SPACE.sub(" ", "".join(out)).strip()
 
 
 def parse(html: str) -> Node:
@@ -154,7 +162,7 @@ def skeleton(root: Node) -> Skeleton:
     rows, stack = [], [(root, 0)]
     while stack:
         node, depth = stack.pop()
-        text = node.own_text() if node.tag not in ("script", "style") else ""
+        text = node.block_text() if node.tag in BLOCK else ""
         rows.append((depth, node.path, zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0))
         stack.extend((c, depth + 1) for c in reversed(node.children))
     table = np.array(rows, np.int64)
@@ -253,14 +261,18 @@ def match_trees(a: Skeleton, b: Skeleton, most_cells: int = 4096) -> list[tuple[
 
 def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) -> str:
     """The content's blocks, joined by one space."""
-    dropped = lambda n: boilerplate(n) or n.path in template
+    in_landmark: set[int] = set()
+    dropped = lambda n: boilerplate(n) or (n.path in template and n.tag in BLOCK and id(n) not in in_landmark)
     held: dict[int, int] = {}
     order: list[Node] = []
     stack = [root]
     while stack:  # nodes of possible content, parents first
         node = stack.pop()
         order.append(node)
-        stack.extend(c for c in node.children if not dropped(c))
+        children = node.children
+        if id(node) in in_landmark or node.tag in ("article", "main") or node.role == "main":
+            in_landmark.update(map(id, children))  # what a page marks as its content stays, also where pages share it
+        stack.extend(c for c in children if not dropped(c))
     for node in reversed(order):
         held[id(node)] = sum(len(x.strip()) if isinstance(x, str) else held.get(id(x), 0) for x in node.parts)
     marked = [n for n in order if (n.tag in ("article", "main") or n.role == "main") and held[id(n)]]
@@ -328,7 +340,7 @@ def skeletons(pages: DataFrame) -> DataFrame:
             text.append(t.astype("<u4").tobytes())
         return pa.RecordBatch.from_arrays([batch.column("host"), batch.column("spread"), *(pa.array(x, pa.binary()) for x in (depth, path, text))], names=["host", "spread", "depth", "path", "text"])
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("html").alias("spread"), "html").where("host <> '' AND html IS NOT NULL")
+    rows = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("spread"), "html").where("host <> '' AND html IS NOT NULL")
     return arrow_map(rows, step, "host string, spread long, depth binary, path binary, text binary", "html")
 
 
