@@ -57,12 +57,10 @@ def entropy_score(bits: Column, low: float = 2.0, high: float = 6.0) -> Column:
 
 def repetition(text: Column) -> Column:
     """Highest of five: most frequent character, lines, character pairs, word 3-grams and 4-grams; 0 under 10 characters."""
-    tokens = X.words(text)
     lines = F.filter(F.transform(F.split(text, "\n"), X.stripped), lambda x: x != "")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))
     top = F.array_max(X.char_counts(text)) / F.length(text)
-    line = F.when(F.size(lines) > 1, X.repeated_share(lines)).otherwise(F.lit(0.0))
-    parts = [top, line, X.repeated_share(pairs), X.repeated_share(X.ngrams(tokens, 3)), X.repeated_share(X.ngrams(tokens, 4))]
+    by_word = X.let(X.words(text), lambda w: F.greatest(X.repeated_share(X.ngrams(w, 3)), X.repeated_share(X.ngrams(w, 4))))
+    parts = [top, X.repeated_share(lines), X.repeated_share(X.char_ngrams(text, 2)), by_word]
     return F.when(F.length(text) >= 10, F.greatest(*parts)).otherwise(F.lit(0.0))
 
 

@@ -34,17 +34,26 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
+def ngrams(tokens: Column, n: int, between: str = "\x01") -> Column:
     def grams(t: Column) -> Column:
         last = F.greatest(F.size(t) - n + 1, F.lit(1))
-        return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(t, i, n), "\x01"))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(t, i, n), between))).otherwise(F.array().cast("array<string>"))
 
     return let(tokens, grams)
 
 
+def chars(text: Column) -> Column:
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
+def char_ngrams(text: Column, n: int) -> Column:
+    """From the characters as an array: a substring by index would scan the text anew for each."""
+    return ngrams(chars(text), n, "")
+
+
 def repeated_share(items: Column) -> Column:
     """1 - distinct / all; 0 for none."""
-    return F.when(F.size(items) > 0, 1 - F.size(F.array_distinct(items)).cast("double") / F.size(items)).otherwise(F.lit(0.0))
+    return let(items, lambda x: F.when(F.size(x) > 0, 1 - F.size(F.array_distinct(x)).cast("double") / F.size(x)).otherwise(F.lit(0.0)))
 
 
 def run_lengths(tokens: Column) -> Column:
@@ -88,7 +97,7 @@ def char_counts(text: Column) -> Column:
 def char_entropy(text: Column) -> Column:
     """Bits per character."""
     text = F.coalesce(text, F.lit(""))
-    return entropy_bits(char_counts(text), F.length(text))
+    return F.abs(entropy_bits(char_counts(text), F.length(text)))  # no -0.0
 
 
 def char_entropy_normal(text: Column) -> Column:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import corpus
+from . import corpus, samples
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "flagship"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "samples"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
