@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import corpus, samples, tables
+from . import corpus, samples, streams, tables
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "flagship", "samples", "tables"]
+__all__ = ["ORACLES", "QUERIES", "flagship", "samples", "streams", "tables"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
