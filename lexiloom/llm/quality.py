@@ -44,6 +44,8 @@ class Rules:
     #: Squared distance; the 0.9999 quantile of chi-squared with six degrees of freedom is 27.86.
     cutoff: float = 27.86
     min_rows: int = 100
+    #: Ranks of quartiles and of the nearest h are right within 1 / accuracy; partial sketches grow with it.
+    accuracy: int = 200
     #: Estimates up to this number (400 bytes each) are broadcast; beyond it they are joined by shuffle.
     max_broadcast: int = 20_000
 
@@ -174,14 +176,14 @@ def _near(rows: DataFrame, estimates: DataFrame, n_groups: int, rules: Rules) ->
 def fit(stats: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, int]:
     """(estimates of every group on each level, their number) from rows with lang, source and the statistics."""
     narrow = stats.where(~base_failed(rules)).select(F.explode(F.array(*(group_key(i) for i in range(3)))).alias("grp"), *NAMES)
-    quartiles = narrow.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(c, [0.25, 0.5, 0.75], 2000).alias(f"p{i}") for i, c in enumerate(NAMES)))
+    quartiles = narrow.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *(F.percentile_approx(c, [0.25, 0.5, 0.75], rules.accuracy).alias(f"p{i}") for i, c in enumerate(NAMES)))
     spread = [F.greatest((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, F.lit(FLOORS[c])) for i, c in enumerate(NAMES)]
     precision = F.array(*(1 / (spread[i] * spread[i]) if i == j else F.lit(0.0) for i, j in PAIRS))
     estimates = written(quartiles.select("grp", "n", F.array(*(F.col(f"p{i}")[1] for i in range(len(NAMES)))).alias("center"), precision.alias("precision")), "mcd")
     n_groups = estimates.count()
     for step in range(rules.steps):
         rows = _near(narrow, estimates, n_groups, rules).select("grp", "n", *NAMES, distance().alias("d2"))
-        limits = rows.groupBy("grp").agg(F.percentile_approx("d2", rules.h, 2000).alias("limit"))
+        limits = rows.groupBy("grp").agg(F.percentile_approx("d2", rules.h, rules.accuracy).alias("limit"))
         limits = written(estimates.join(limits, "grp"), "mcd")
         inside = _near(narrow, limits, n_groups, rules).where(distance() <= F.col("limit"))
         sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(NAMES)] + [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"q{k}") for k, (i, j) in enumerate(PAIRS)]
