@@ -50,17 +50,22 @@ def unsafe(text: Column) -> tuple[Column, Column]:
 
 
 def entropy_score(bits: Column, low: float = 2.0, high: float = 6.0) -> Column:
-    under = bits / low * 0.5
-    over = 1 - F.least((bits - high) / 2, F.lit(0.5))
-    return F.when(bits < low, under).when(bits > high, over).otherwise(0.5 + 0.5 * (bits - low) / (high - low))
+    def scored(e: Column) -> Column:
+        over = 1 - F.least((e - high) / 2, F.lit(0.5))
+        return F.when(e < low, e / low * 0.5).when(e > high, over).otherwise(0.5 + 0.5 * (e - low) / (high - low))
 
+    return X.let(bits, scored)
 
-def repetition(text: Column) -> Column:
-    """Highest of five: most frequent character, lines, character pairs, word 3-grams and 4-grams; 0 under 10 characters."""
+
+def repetition(text: Column, counts: Column | None = None, tokens: Column | None = None) -> Column:
+    """Highest of five: most frequent character, lines, character pairs, word 3-grams and 4-grams; 0 under 10 characters.
+
+    counts (of characters) and tokens (words) may be given where they are there already.
+    """
     lines = F.filter(F.transform(F.split(text, "\n"), X.stripped), lambda x: x != "")
-    top = F.array_max(X.char_counts(text)) / F.length(text)
-    by_word = X.let(X.words(text), lambda w: F.greatest(X.repeated_share(X.ngrams(w, 3)), X.repeated_share(X.ngrams(w, 4))))
-    parts = [top, X.repeated_share(lines), X.repeated_share(X.char_ngrams(text, 2)), by_word]
+    top = F.array_max(counts if counts is not None else X.char_counts(text)) / F.length(text)
+    by_word = X.let(tokens if tokens is not None else X.words(text), lambda w: F.greatest(X.repeated_share(X.ngrams(w, 3)), X.repeated_share(X.ngrams(w, 4))))
+    parts = [top, X.repeated_share(lines), X.repeated_share(X.char_pairs(text)), by_word]
     return F.when(F.length(text) >= 10, F.greatest(*parts)).otherwise(F.lit(0.0))
 
 
@@ -70,11 +75,13 @@ def novelty(text: Column) -> Column:
     return F.least(2 * X.share(F.size(F.array_distinct(tokens)), F.size(tokens)), F.lit(1.0))
 
 
-def gibberish(text: Column) -> Column:
+def gibberish(text: Column, bits: Column | None = None) -> Column:
     """Ten Latin letters or more, with few or many vowels, or long with hardly any variety."""
     letters = F.regexp_count(text, F.lit("[A-Za-z]"))
-    vowels = X.share(F.regexp_count(text, F.lit("[aeiouAEIOU]")), letters)
-    return (letters >= 10) & ((vowels < 0.15) | (vowels > 0.6) | ((F.length(text) > 50) & (X.char_entropy(text) < 2.0)))
+    vowels = F.regexp_count(text, F.lit("[aeiouAEIOU]"))
+    flat = (bits if bits is not None else X.char_entropy(text)) < 2.0
+    odd = lambda n: (n[0] >= 10) & ((X.share(n[1], n[0]) < 0.15) | (X.share(n[1], n[0]) > 0.6) | ((F.length(text) > 50) & flat))
+    return X.let(F.array(letters, vowels), odd)
 
 
 def broken_encoding(text: Column) -> Column:
@@ -86,13 +93,13 @@ def punctuation_share(text: Column) -> Column:
     return X.share(F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]")), F.length(text))
 
 
-def anomaly_flags(text: Column, tokens: Column | None = None) -> Column:
+def anomaly_flags(text: Column, tokens: Column | None = None, bits: Column | None = None) -> Column:
     """Names of what is odd about a text, in a fixed order."""
     n = F.length(text)
     checks = [("too_short", n < 10), ("too_long", n > 1_000_000)]
     if tokens is not None:
         checks.append(("too_many_tokens", tokens > 100_000))
-    checks += [("gibberish", gibberish(text)), ("encoding_issues", broken_encoding(text)), ("excessive_punctuation", punctuation_share(text) > 0.3)]
+    checks += [("gibberish", gibberish(text, bits)), ("encoding_issues", broken_encoding(text)), ("excessive_punctuation", punctuation_share(text) > 0.3)]
     return F.array_compact(F.array(*(F.when(c, F.lit(name)) for name, c in checks)))
 
 

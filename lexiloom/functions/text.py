@@ -46,9 +46,14 @@ def chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def char_ngrams(text: Column, n: int) -> Column:
-    """From the characters as an array: a substring by index would scan the text anew for each."""
-    return ngrams(chars(text), n, "")
+def char_pairs(text: Column) -> Column:
+    """Neighbouring characters, from two shifted arrays: a substring by index would scan the text anew for each."""
+
+    def pairs(c: Column) -> Column:
+        n = F.greatest(F.size(c) - 1, F.lit(0))
+        return F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, F.lit(2), n), lambda a, b: F.concat(a, b))
+
+    return let(chars(text), pairs)
 
 
 def repeated_share(items: Column) -> Column:
