@@ -46,14 +46,14 @@ def chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
-def char_pairs(text: Column) -> Column:
-    """Neighbouring characters, from two shifted arrays: a substring by index would scan the text anew for each."""
+def longer(grams: Column, c: Column, n: int) -> Column:
+    """n-grams of the characters c from their (n-1)-grams, by two shifted arrays: a substring by index would scan the text anew for each."""
+    count = F.greatest(F.size(c) - n + 1, F.lit(0))
+    return F.zip_with(F.slice(grams, F.lit(1), count), F.slice(c, F.lit(n), count), lambda a, b: F.concat(a, b))
 
-    def pairs(c: Column) -> Column:
-        n = F.greatest(F.size(c) - 1, F.lit(0))
-        return F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, F.lit(2), n), lambda a, b: F.concat(a, b))
 
-    return let(chars(text), pairs)
+def char_pairs(text: Column) -> Column:
+    return let(chars(text), lambda c: longer(c, c, 2))
 
 
 def repeated_share(items: Column) -> Column:

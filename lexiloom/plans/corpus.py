@@ -63,9 +63,12 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = C.conversation_metrics(clean(spark, sf_dir), heads(spark, sf_dir))
-    rows = C.with_period(rows, ["created_at", "conversation_id"])
-    return rows.withColumn("provider", F.concat(F.lit("p"), (F.col("conversation_id") % 4).cast("string"))).withColumn("conversation_id", F.col("conversation_id").cast("long"))
+    """Periods come from narrow rows, so the metrics themselves are worked out once."""
+    turns, head = clean(spark, sf_dir), heads(spark, sf_dir)
+    there = head.select("conversation_id", "created_at").join(turns.select("conversation_id").distinct(), "conversation_id", "left_semi")
+    periods = C.with_period(there, ["created_at", "conversation_id"]).select("conversation_id", "period")
+    rows = C.conversation_metrics(turns, head).join(periods, "conversation_id")
+    return rows.withColumn("provider", F.concat(F.lit("p"), (F.col("conversation_id") % 4).cast("string")))
 
 
 def exact_tokens(spark: SparkSession, sf_dir: str) -> int:

@@ -15,7 +15,7 @@ from ..functions import quality as Q
 from ..functions import text as X
 from ..functions import tokens as K
 from .corpus import _hits, _list
-from .registry import query, table
+from .registry import query, spread, table
 
 PLANTED = [
     " mail a.b@example.com or 555-123-4567, 123-45-6789, password and secret",
@@ -34,7 +34,7 @@ PLANTED = [
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     phrase = F.get(F.array(*map(F.lit, PLANTED)), (F.col("doc_id") % len(PLANTED)).cast("int"))
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.concat(F.coalesce("text", F.lit("")), phrase).alias("t"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", "source", F.concat(F.coalesce("text", F.lit("")), phrase).alias("t"))
 
 
 _BASE = f"WITH s AS (SELECT doc_id, lang, source, coalesce(text, '') || {_list(PLANTED)}[doc_id % {len(PLANTED)} + 1] AS t FROM documents)"
@@ -177,11 +177,11 @@ _doc("op_txt_27_repeated_sequences", None, sequences=lambda t: F.array_join(F.tr
 
 
 def mean_char_repetition(text: Column, most: int = 4) -> Column:
-    def mean(c: Column) -> Column:
-        parts = [X.repeated_share(X.ngrams(c, n, "")) for n in range(1, most + 1)]
-        return sum(parts[1:], parts[0]) / most
+    def total(c: Column, grams: Column, n: int) -> Column:
+        own = X.repeated_share(grams)
+        return own if n == most else own + X.let(X.longer(grams, c, n + 1), lambda g: total(c, g, n + 1))
 
-    return X.let(X.chars(text), mean)
+    return X.let(X.chars(text), lambda c: total(c, c, 1)) / most
 
 
 _doc("op_txt_28_mean_char_repetition", "SELECT doc_id, round((" + " + ".join(_repeated(f"g{n}") for n in range(1, 5)) + ") / 4, 6) AS score FROM (SELECT doc_id, " + ", ".join(f"list_transform(range(1, length(t) - {n} + 2), lambda i: t[i:i + {n} - 1]) AS g{n}" for n in range(1, 5)) + " FROM s)", score=mean_char_repetition)

@@ -14,13 +14,13 @@ from ..sources import exports as E
 from . import samples as P
 from .corpus import _BASE as _MSGS
 from .corpus import _CONV, clean, metrics
-from .registry import query, table
+from .registry import query, spread, table
 
 # ---- duplicates over documents
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")))
 
 
 _EXACT = "SELECT doc_id, min(doc_id) OVER (PARTITION BY sha256(coalesce(text, ''))) AS first_id FROM documents"
