@@ -14,7 +14,7 @@ from ..functions import lexicons as L
 from ..functions import text as X
 from ..operators import conversations as C
 from ..operators import distill as D
-from .registry import query, table
+from .registry import query, spread, table
 
 PLANTED = [
     " actually, i meant the other bug in the parser",
@@ -43,7 +43,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All turns with planted phrases, create_time and provider."""
     rows = table(spark, sf_dir, "conversations")
     phrase = F.get(F.array(*map(F.lit, PLANTED)), F.pmod(F.col("conv_id") * 31 + F.col("turn") * 7, F.lit(len(PLANTED))).cast("int"))
-    return rows.select(
+    made = rows.select(
         F.col("conv_id").alias("conversation_id"),
         "turn",
         "role",
@@ -51,6 +51,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1700000000 + F.col("conv_id") * 200000 + F.col("turn") * 60).cast("double").alias("create_time"),
         F.concat(F.lit("p"), (F.col("conv_id") % 4).cast("string")).alias("provider"),
     )
+    return spread(made, "conversation_id")
 
 
 def heads(spark: SparkSession, sf_dir: str) -> DataFrame:

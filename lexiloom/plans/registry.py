@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df over all cores where its files make fewer tasks than that, as one small file does; large tables stay as they are."""
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df over all cores where its files make fewer tasks than that, as one small file does; large tables stay as they are. Dealt by keys, later steps on them need no shuffle of their own."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
