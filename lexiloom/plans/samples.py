@@ -5,6 +5,7 @@ As in the corpus queries, PLANTED appends phrases so that every branch is met.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -153,22 +154,67 @@ _REPEAT = f"CASE WHEN length(t) >= 10 THEN greatest(CAST(top AS DOUBLE) / length
 _doc("op_txt_26_repetition", f"SELECT doc_id, round({_REPEAT}, 6) AS repetition FROM {_REPEAT_SQL}", repetition=Q.repetition)
 
 
+def longest_repeats(t: str, least: int = 10, most: int = 10) -> list[str]:
+    """The longest substrings of `least` to half the text's characters that occur twice or more (overlaps count); equal lengths in order of first occurrence.
+
+    Windows of 1, 2, 4... characters get numbers, equal ones the same, from the pair of their halves; a window that
+    occurs once (-1) lies in no repeat. Two overlapping windows of 2^k number a window of any length up to 2^(k+1).
+    """
+    half = len(t) // 2
+    if half < least:
+        return []
+    code = np.unique(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4"), return_inverse=True)[1].astype(np.int64)
+    levels: list[tuple[np.ndarray, int]] = [(code, int(code.max()) + 1)]  # numbers by start, their bound
+
+    def windows(length: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Starts of windows that may repeat, their keys, the keys' bound."""
+        k = length.bit_length() - 1
+        while k >= len(levels):
+            size = 1 << len(levels)
+            at, key, bound = windows_of(len(levels) - 1, size)
+            if bound >= 1 << 31 or size >= 8:  # small keys stay as they are, cheaper than numbering them
+                _, key, n = np.unique(key, return_inverse=True, return_counts=True)
+                key = np.where(n > 1, np.cumsum(n > 1) - 1, -1)[key]
+                bound = max(1, int((n > 1).sum()))
+            numbers = np.full(len(t) - size + 1, -1, np.int64)
+            numbers[at] = key
+            levels.append((numbers, bound))
+        return windows_of(k, length)
+
+    def windows_of(k: int, length: int) -> tuple[np.ndarray, np.ndarray, int]:
+        numbers, bound = levels[k]
+        left, right = numbers[: len(t) - length + 1], numbers[length - (1 << k) :]
+        at = np.flatnonzero((left >= 0) & (right >= 0))
+        return at, left[at] * bound + right[at], bound * bound
+
+    def repeats(length: int) -> bool:
+        key = np.sort(windows(length)[1])
+        return bool((key[1:] == key[:-1]).any())
+
+    if not repeats(least):
+        return []
+    low, high = least, least + 1
+    while high <= half and repeats(high):  # a repeat of n characters holds repeats of fewer
+        low, high = high, 2 * high
+    high = min(high, half + 1)
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if repeats(middle) else (low, middle)
+    out: list[str] = []
+    for length in range(low, least - 1, -1):
+        at, key, _ = windows(length)
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        out += [t[i : i + length] for i in np.sort(at[first[n > 1]])[: most - len(out)].tolist()]
+        if len(out) >= most:
+            break
+    return out
+
+
 def repeated_sequences(text: Column, least: int = 10, most: int = 10) -> Column:
-    """Repeated substrings of `least` characters or more, longest first: maximal runs between equal neighbours of the suffix order."""
+    """Repeated substrings of `least` characters or more, longest first."""
     @F.pandas_udf("array<string>")
     def found(values: pd.Series) -> pd.Series:
-        def one(t: str) -> list[str]:
-            order = sorted(range(len(t)), key=lambda i: t[i : i + 400])
-            out = set()
-            for a, b in zip(order, order[1:], strict=False):
-                n = 0
-                while n < 400 and a + n < len(t) and b + n < len(t) and t[a + n] == t[b + n]:
-                    n += 1
-                if n >= least:
-                    out.add(t[a : a + n])
-            return sorted(out, key=lambda x: (-len(x), x))[:most]
-
-        return values.map(one)
+        return values.map(lambda t: longest_repeats(t, least, most))
 
     return found(text)
 

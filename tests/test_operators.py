@@ -22,6 +22,7 @@ from lexiloom.operators import merge as M
 from lexiloom.operators import outliers as O
 from lexiloom.operators import schema as S
 from lexiloom.operators import validate as V
+from lexiloom.plans import samples as P
 from lexiloom.sources import exports as E
 from lexiloom.sources import records as R
 
@@ -261,3 +262,29 @@ def test_stream_state_spans_batches(spark, tmp_path):
     out = streaming.to_end(streaming.rolling_outliers(stream, "g", "k", "n"), "t", str(tmp_path / "ck"))
     assert [r.k for r in out.where("outlier").collect()] == [30] and out.count() == 31
 
+
+def all_repeats(text, least=10, most=10):
+    out = []
+    for n in range(least, len(text) // 2 + 1):
+        seen = {}
+        for i in range(len(text) - n + 1):
+            seen[text[i : i + n]] = seen.get(text[i : i + n], 0) + 1
+        out += [x for x, k in seen.items() if k > 1]
+    return sorted(out, key=len, reverse=True)[:most]
+
+
+@given(st.lists(st.sampled_from(["a", "b", "aab", "é", "😀 ", "abcabcabcd", "one long phrase of words. "]), max_size=40).map("".join), st.integers(1, 12))
+@settings(max_examples=150, deadline=None)
+def test_repeated_sequences_are_all(text, least):
+    assert P.longest_repeats(text, least) == all_repeats(text, least)
+
+
+def test_repeated_sequences_of_any_length(spark):
+    """Passages of over 400 characters keep their length, also where two of them repeat."""
+    rng = np.random.default_rng(3)
+    one, two = ("".join(map(chr, rng.integers(97, 123, n))) for n in (1500, 1497))
+    text = f"{one}.{two}!{one}?{two}:"
+    got = value(spark, P.repeated_sequences(F.col("t")), t=text)
+    assert got == P.longest_repeats(text) and [len(x) for x in got] == [1500, 1499, 1499, 1498, 1498, 1498, 1497, 1497, 1497, 1497]
+    assert got[0] == one and two in P.longest_repeats(text, most=11)
+    assert P.longest_repeats("x" * 5000)[0] == "x" * 2500
