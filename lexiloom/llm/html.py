@@ -7,8 +7,9 @@ r"""Main text of web pages by wrapper induction over pages of one host.
    host, by simple tree matching; matched nodes of equal text count as constant for their
    path (labels from the root), others as varying.
 3. A block whose path is constant in nearly all alignments of a host is template; varying
-   slots are content. In a page, the content lies in its landmark (article, main; all of it)
-   or, without one, in the smallest subtree that holds most of the varying text. Menus, headers, footers,
+   slots are content. In a page, the content lies in its outermost landmarks (article, main; all of
+   them) or, without one, in the whole page but for template blocks. Of a template block only its own
+   text goes; blocks in it are judged by themselves. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by their
    tags and labels, also where their text varies.
 
@@ -42,8 +43,6 @@ class Wrapper:
     #: A path is template if this share of a host's alignments, and so many at least, had equal text there.
     constant_share: float = 0.9
     min_alignments: int = 4
-    #: Without a landmark: share of the varying text that the content's subtree must hold.
-    main_share: float = 0.6
     #: Templates (host with its paths) up to this number are broadcast; beyond it they are joined by shuffle.
     max_broadcast: int = 100_000
 
@@ -153,6 +152,10 @@ def boilerplate(node: Node) -> bool:
     return bool(node.names) and node.tag not in ("body", "html", "main", "article") and not BOILERPLATE_WORDS.isdisjoint(w.lower() for w in _WORD.findall(node.names))
 
 
+def landmark(node: Node) -> bool:
+    return node.tag in ("article", "main") or node.role == "main"
+
+
 # ---- skeletons and their alignment
 
 Skeleton = tuple[np.ndarray, np.ndarray, np.ndarray]  # depth, path, text, in document order
@@ -262,36 +265,27 @@ def match_trees(a: Skeleton, b: Skeleton, most_cells: int = 4096) -> list[tuple[
 def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) -> str:
     """The content's blocks, joined by one space."""
     in_landmark: set[int] = set()
-    dropped = lambda n: boilerplate(n) or (n.path in template and n.tag in BLOCK and id(n) not in in_landmark)
+    fixed = lambda n: n.tag in BLOCK and n.path in template and id(n) not in in_landmark
     held: dict[int, int] = {}
     order: list[Node] = []
     stack = [root]
-    while stack:  # nodes of possible content, parents first
+    while stack:  # nodes of possible content, in page order
         node = stack.pop()
         order.append(node)
         children = node.children
-        if id(node) in in_landmark or node.tag in ("article", "main") or node.role == "main":
-            in_landmark.update(map(id, children))  # what a page marks as its content stays, also where pages share it
-        stack.extend(c for c in children if not dropped(c))
+        if id(node) in in_landmark or landmark(node):
+            in_landmark.update(map(id, [node, *children]))  # what a page marks as its content stays, also where pages share it
+        stack.extend(c for c in reversed(children) if not boilerplate(c))
     for node in reversed(order):
         held[id(node)] = sum(len(x.strip()) if isinstance(x, str) else held.get(id(x), 0) for x in node.parts)
-    marked = [n for n in order if (n.tag in ("article", "main") or n.role == "main") and held[id(n)]]
-    articles = [n for n in marked if n.tag == "article"] or marked
-    if articles:
-        inside = {id(n) for n in articles}
-        tops = []
-        for n in articles:
-            up = n.parent
-            while up is not None and id(up) not in inside:
-                up = up.parent
-            if up is None:
-                tops.append(n)
-        tops.sort(key=lambda n: order.index(n))
-    else:
-        node, whole = root, held[id(root)]
-        while (best := max((c for c in node.children if id(c) in held), key=lambda c: held[id(c)], default=None)) is not None and whole and held[id(best)] >= how.main_share * whole and best.tag not in ("p", "li", "td"):
-            node = best
-        tops = [node]
+    tops: list[Node] = []
+    covered: set[int] = set()
+    for node in order:
+        if id(node.parent) in covered or landmark(node) and held[id(node)]:
+            covered.add(id(node))
+            if id(node.parent) not in covered:
+                tops.append(node)
+    tops = tops or [root]
     blocks: list[str] = []
     line: list[str] = []
 
@@ -302,19 +296,20 @@ def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) ->
             line.clear()
 
     for top in tops:
-        todo: list[Node | str | None] = [top]
+        todo: list[tuple[Node | str | None, bool]] = [(top, False)]  # and whether it is text of a template block
         while todo:
-            x = todo.pop()
+            x, out = todo.pop()
             if x is None:
                 end_block()
             elif isinstance(x, str):
-                line.append(x)
-            elif x is top or not dropped(x):
-                is_block = x.tag in BLOCK
-                if is_block:
+                if not out:
+                    line.append(x)
+            elif x is top or not boilerplate(x):
+                if x.tag in BLOCK:
                     end_block()
-                    todo.append(None)
-                todo.extend(reversed(x.parts))
+                    todo.append((None, False))
+                    out = out if x.tag == "br" else fixed(x)
+                todo.extend((y, out) for y in reversed(x.parts))
         end_block()
     return " ".join(blocks)
 

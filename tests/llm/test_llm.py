@@ -438,6 +438,25 @@ def test_html(spark):
     assert all(r.n_chars == len(r.text) for r in out.values())
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><div><p>intro</p><section>%s</section><p>outro</p></div>", "intro %s outro"),
+    ("<body><div><p>before</p><ul><li>%s<li>two</ul><p>after</p></div>", "before %s two after"),
+    ("<body><div>few <b>%s</b> words</div>", "few %s words"),
+    ("<main><p>%s</p><article>teaser</article></main><article>apart</article>", "%s teaser apart"),
+    ("<article>one</article><article>two %s</article>", "one two %s"),
+])
+def test_html_keeps_what_lies_beside_the_largest_part(page, text):
+    long = "many words of the page " * 9 + "end"
+    assert html.main_text(html.parse(page % long), frozenset()) == text % long
+
+
+def test_html_template_block_spares_blocks_in_it(spark):
+    page = "<body><div>Posted in <b>news</b><p>story {n} of <i>the</i> day</p></div><p class=x>same</p>"
+    rows = [(i, f"http://h.example/{i}", page.format(n=i)) for i in range(8)]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"story {i} of the day" for i in range(8)}
+
+
 def test_tree_matching_finds_moved_parts():
     a = html.skeleton(html.parse("<div><p>a<p>b<ul><li>x</ul><p>c</div>"))
     b = html.skeleton(html.parse("<div><p>a<ul><li>x</ul><p>c<p>d</div>"))
