@@ -9,7 +9,8 @@ r"""Main text of web pages by wrapper induction over pages of one host.
 3. A block whose path is constant in nearly all alignments of a host is template; varying
    slots are content. In a page, the content lies in its outermost landmarks (article, main; all of
    them) or, without one, in the whole page but for template blocks. Of a template block only its own
-   text goes; blocks in it are judged by themselves. Menus, headers, footers,
+   text goes, where it is one that the host repeats there; blocks in it are judged by themselves.
+   A landmark whose text would nearly all go stays whole. Menus, headers, footers,
    sidebars, notices, adverts, forms, scripts, styles and comments are left out by their
    tags and labels, also where their text varies.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 from html import unescape
 
@@ -161,12 +163,17 @@ def landmark(node: Node) -> bool:
 Skeleton = tuple[np.ndarray, np.ndarray, np.ndarray]  # depth, path, text, in document order
 
 
+def text_hash(text: str) -> int:
+    """0 for no text."""
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0
+
+
 def skeleton(root: Node) -> Skeleton:
     rows, stack = [], [(root, 0)]
     while stack:
         node, depth = stack.pop()
         text = node.block_text() if node.tag in BLOCK else ""
-        rows.append((depth, node.path, zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0))
+        rows.append((depth, node.path, text_hash(text)))
         stack.extend((c, depth + 1) for c in reversed(node.children))
     table = np.array(rows, np.int64)
     return table[:, 0], table[:, 1], table[:, 2]
@@ -262,20 +269,16 @@ def match_trees(a: Skeleton, b: Skeleton, most_cells: int = 4096) -> list[tuple[
 # ---- reading one page
 
 
-def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) -> str:
-    """The content's blocks, joined by one space."""
-    in_landmark: set[int] = set()
-    fixed = lambda n: n.tag in BLOCK and n.path in template and id(n) not in in_landmark
+def main_text(root: Node, template: dict[int, frozenset[int]], how: Wrapper = Wrapper()) -> str:
+    """The content's blocks, joined by one space. template: by path, hashes of the texts that the host repeats there."""
+    fixed = lambda n: n.tag in BLOCK and n.path in template and text_hash(n.block_text()) in template[n.path]
     held: dict[int, int] = {}
     order: list[Node] = []
     stack = [root]
     while stack:  # nodes of possible content, in page order
         node = stack.pop()
         order.append(node)
-        children = node.children
-        if id(node) in in_landmark or landmark(node):
-            in_landmark.update(map(id, [node, *children]))  # what a page marks as its content stays, also where pages share it
-        stack.extend(c for c in reversed(children) if not boilerplate(c))
+        stack.extend(c for c in reversed(node.children) if not boilerplate(c))
     for node in reversed(order):
         held[id(node)] = sum(len(x.strip()) if isinstance(x, str) else held.get(id(x), 0) for x in node.parts)
     tops: list[Node] = []
@@ -285,9 +288,17 @@ def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) ->
             covered.add(id(node))
             if id(node.parent) not in covered:
                 tops.append(node)
-    tops = tops or [root]
+    kept, rest = read(tops or [root], fixed)
+    if tops and rest and len(kept) < (1 - how.constant_share) * (len(kept) + rest):
+        kept, _ = read(tops, lambda _: False)  # pages of a host that share their content
+    return kept
+
+
+def read(tops: list[Node], fixed: Callable[[Node], bool]) -> tuple[str, int]:
+    """The blocks of these subtrees without boilerplate and without the own text of fixed blocks; how many characters those had."""
     blocks: list[str] = []
     line: list[str] = []
+    left_out = 0
 
     def end_block() -> None:
         if line:
@@ -296,22 +307,24 @@ def main_text(root: Node, template: frozenset[int], how: Wrapper = Wrapper()) ->
             line.clear()
 
     for top in tops:
-        todo: list[tuple[Node | str | None, bool]] = [(top, False)]  # and whether it is text of a template block
+        todo: list[tuple[Node | str | None, bool]] = [(top, False)]  # and whether it is text of a fixed block
         while todo:
             x, out = todo.pop()
             if x is None:
                 end_block()
             elif isinstance(x, str):
-                if not out:
+                if out:
+                    left_out += len(x.strip())
+                else:
                     line.append(x)
             elif x is top or not boilerplate(x):
                 if x.tag in BLOCK:
                     end_block()
                     todo.append((None, False))
-                    out = out if x.tag == "br" else fixed(x)
+                    out = fixed(x)
                 todo.extend((y, out) for y in reversed(x.parts))
         end_block()
-    return " ".join(blocks)
+    return " ".join(blocks), left_out
 
 
 # ---- Spark
@@ -340,7 +353,7 @@ def skeletons(pages: DataFrame) -> DataFrame:
 
 
 def evidence(bones: DataFrame) -> DataFrame:
-    """host, path, same, seen: alignments in which the path's text was equal, and all."""
+    """host, path, text, same, seen: at text 0, alignments in which the path's text was equal, and all; else those in which this text was equal."""
     n = max(1, int(bones.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = bones.repartitionByRange(n, "host", "spread").sortWithinPartitions("host", "spread")
 
@@ -350,7 +363,7 @@ def evidence(bones: DataFrame) -> DataFrame:
 
         def told():
             keys = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([same[k] for k in keys], pa.int64()), pa.array([seen[k] for k in keys], pa.int64())], names=["host", "path", "same", "seen"])
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int64()), pa.array([same[k] for k in keys], pa.int64()), pa.array([seen[k] for k in keys], pa.int64())], names=["host", "path", "text", "same", "seen"])
 
         for batch in batches:
             for host, depth, path, text in zip(*(batch.column(c).to_pylist() for c in ("host", "depth", "path", "text")), strict=True):
@@ -359,12 +372,18 @@ def evidence(bones: DataFrame) -> DataFrame:
                     t, s = before[1][2].tolist(), bone[2].tolist()
                     paths = bone[1].tolist()
                     state: dict[int, bool] = {}
+                    equal_texts: set[tuple[int, int]] = set()
                     for i, j in match_trees(before[1], bone):
                         if t[i] or s[j]:  # nodes that hold text themselves
                             state[paths[j]] = state.get(paths[j], True) and t[i] == s[j]
+                            if t[i] == s[j]:
+                                equal_texts.add((paths[j], s[j]))
                     for p, equal in state.items():
-                        seen[host, p] += 1
-                        same[host, p] += equal
+                        seen[host, p, 0] += 1
+                        same[host, p, 0] += equal
+                    for p, text in equal_texts:
+                        seen[host, p, text] += 1
+                        same[host, p, text] += 1
                 before = (host, bone)
             if len(seen) > 100_000:
                 yield told()
@@ -373,15 +392,18 @@ def evidence(bones: DataFrame) -> DataFrame:
         if seen:
             yield told()
 
-    parts = dealt.mapInArrow(run, "host string, path long, same long, seen long")
-    return parts.groupBy("host", "path").agg(F.sum("same").alias("same"), F.sum("seen").alias("seen"))
+    parts = dealt.mapInArrow(run, "host string, path long, text long, same long, seen long")
+    return parts.groupBy("host", "path", "text").agg(F.sum("same").alias("same"), F.sum("seen").alias("seen"))
 
 
 def templates(pages: DataFrame, how: Wrapper = Wrapper()) -> tuple[DataFrame, int]:
-    """(host, paths of its template; their number). A host whose pages are all alike shows nothing of what varies and gets none."""
+    """(host, paths of its template with the texts repeated there; their number). A host whose pages are all alike shows nothing of what varies and gets none."""
     found = evidence(written(skeletons(pages), "skeletons"))
+    count = lambda c: F.coalesce(F.sum(F.when(F.col("text") == 0, F.col(c))), F.lit(0)).alias(c)
+    repeated = F.when((F.col("text") != 0) & (F.col("same") >= how.min_alignments), F.col("text"))
+    by_path = found.groupBy("host", "path").agg(F.collect_list(repeated).alias("texts"), count("same"), count("seen"))
     constant = (F.col("same") >= how.constant_share * F.col("seen")) & (F.col("seen") >= how.min_alignments)
-    by_host = found.groupBy("host").agg(F.collect_list(F.when(constant, F.col("path"))).alias("template"), F.count_if(~constant).alias("varying"))
+    by_host = by_path.groupBy("host").agg(F.collect_list(F.when(constant, F.struct("path", "texts"))).alias("template"), F.count_if(~constant).alias("varying"))
     out = written(by_host.where("varying > 0 AND size(template) > 0").select("host", "template"), "templates")
     return out, out.count()
 
@@ -395,7 +417,7 @@ def extract(pages: DataFrame, how: Wrapper = Wrapper()) -> DataFrame:
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts = [], []
         for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
-            texts.append(main_text(parse(html), frozenset(template or ()), how) if html else "")
+            texts.append(main_text(parse(html), {x["path"]: frozenset(x["texts"]) for x in template or ()}, how) if html else "")
             counts.append(len(template or ()))
         sizes = [len(t) for t in texts]
         return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_template"])

@@ -447,7 +447,7 @@ def test_html(spark):
 ])
 def test_html_keeps_what_lies_beside_the_largest_part(page, text):
     long = "many words of the page " * 9 + "end"
-    assert html.main_text(html.parse(page % long), frozenset()) == text % long
+    assert html.main_text(html.parse(page % long), {}) == text % long
 
 
 def test_html_template_block_spares_blocks_in_it(spark):
@@ -457,6 +457,17 @@ def test_html_template_block_spares_blocks_in_it(spark):
     assert {r.page_id: r.text for r in out} == {i: f"story {i} of the day" for i in range(8)}
 
 
+def test_html_template_judges_landmarks(spark):
+    """A line that a host repeats in its articles goes; another text in its place stays, and so do articles that are alike."""
+    page = "<article><h2>{top}</h2><p>story {n} of the day</p><p>and more {n}</p></article>"
+    rows = [(i, f"http://h.example/{i}", page.format(n=i, top="Only here: a special" if i == 30 else "Read our magazine")) for i in range(60)]
+    alike = "<article><h2>terms of use</h2><p>as ever and ever, the whole text of it</p><b>{n}</b></article>"
+    rows += [(100 + i, f"http://same.example/{i}", alike.format(n=i)) for i in range(9)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert out[7] == "story 7 of the day and more 7" and out[30] == "Only here: a special story 30 of the day and more 30"
+    assert out[104] == "terms of use as ever and ever, the whole text of it 4"
+
+
 def test_tree_matching_finds_moved_parts():
     a = html.skeleton(html.parse("<div><p>a<p>b<ul><li>x</ul><p>c</div>"))
     b = html.skeleton(html.parse("<div><p>a<ul><li>x</ul><p>c<p>d</div>"))
