@@ -268,14 +268,14 @@ b AS (SELECT doc_id, {_REPEAT} AS repetition FROM {_REPEAT_SQL}), c AS (SELECT d
 r AS (SELECT *, greatest(0.0, 0.25 * entropy_score + 0.25 * (1 - repetition) + 0.3 * gain + 0.2 * (1 - risk) - least(0.1 * len(flags), 0.5)) AS quality FROM a JOIN b USING (doc_id) JOIN c USING (doc_id))"""
 
 
-def record_metrics(rows: DataFrame) -> DataFrame:
-    """entropy_score, repetition, gain, risk, flags and quality of each sample: one projection, no shuffle."""
+def record_metrics(rows: DataFrame, *more: Column) -> DataFrame:
+    """entropy_score, repetition, gain, risk, flags and quality of each sample, and more Columns over t and its words w: one projection, no shuffle."""
     t = F.col("t")
     once = rows.select("doc_id", "lang", "source", "t", X.char_counts(t).alias("cc"), X.words(t).alias("w"))
     once = once.withColumn("bits", F.abs(X.entropy_bits(F.col("cc"), F.length("t"))))
     lowered = F.transform("w", F.lower)
     gain = X.let(lowered, lambda w: F.least(2 * X.share(F.size(F.array_distinct(w)), F.size(w)), F.lit(1.0)))
-    parts = once.select("doc_id", "lang", "source", Q.entropy_score(F.col("bits")).alias("entropy_score"), Q.repetition(t, F.col("cc"), F.col("w")).alias("repetition"), gain.alias("gain"), Q.unsafe(t)[0].alias("risk"), Q.anomaly_flags(t, bits=F.col("bits")).alias("flags"))
+    parts = once.select("doc_id", "lang", "source", Q.entropy_score(F.col("bits")).alias("entropy_score"), Q.repetition(t, F.col("cc"), F.col("w")).alias("repetition"), gain.alias("gain"), Q.unsafe(t)[0].alias("risk"), Q.anomaly_flags(t, bits=F.col("bits")).alias("flags"), *more)
     return parts.withColumn("quality", Q.overall(F.col("entropy_score"), F.col("repetition"), F.col("gain"), F.col("risk"), F.col("flags")))
 
 

@@ -268,6 +268,21 @@ def val_01(spark, sf_dir):
     return V.rule_counts(table(spark, sf_dir, "documents"), rules)
 
 
+def row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row metrics of the samples under the reference's names; split, language confidence, tokenizer and duplicate columns have no source here."""
+    t, limits = F.col("t"), {"4k": 4096, "8k": 8192, "32k": 32768}
+    more = [F.sha2(t, 256).alias("text_sha256"), F.octet_length(t).alias("raw_bytes"), F.length(t).alias("char_count"), F.size("w").alias("word_count"), (X.occurrences(t, "\n") + 1).alias("line_count"), P.K.char_tokens(t).alias("token_count")]
+    rows = P.record_metrics(P.samples(spark, sf_dir), *more).withColumnsRenamed({"doc_id": "sample_id", "lang": "language", "repetition": "repetition_score", "risk": "safety_risk_score", "quality": "quality_score", "flags": "anomaly_flags"})
+    n = F.col("token_count")
+    return rows.withColumns({f"context_{k}_fit": n <= m for k, m in limits.items()} | {f"truncation_at_{k}": F.greatest(F.lit(0), n - m) for k, m in limits.items()})
+
+
+@query("op_val_01_row_metric_rules")
+def val_01_metrics(spark, sf_dir):
+    """The reference's 14 rule groups; op_val_01_row_rules has rules on the raw documents."""
+    return V.row_metric_rules(row_metrics(spark, sf_dir))
+
+
 @query("op_val_02_required_columns", "SELECT * FROM (VALUES ('doc_id', true), ('text', true), ('text_sha256', false)) AS t(\"column\", present)")
 def val_02(spark, sf_dir):
     return V.required_columns(table(spark, sf_dir, "documents"), ["doc_id", "text", "text_sha256"])
@@ -282,6 +297,12 @@ def val_03(spark, sf_dir):
     return V.gates(row, {"R1": F.col("banned") == 0, "R2": F.col("n") == F.col("ids"), "R3": F.lit(None).cast("boolean")})
 
 
+@query("op_val_03_reference_gates")
+def val_03_reference(spark, sf_dir):
+    """R1-R5 as the reference defines them; the tables bring no ledger, so R4 and R5 are SKIP."""
+    return V.raw_gates(table(spark, sf_dir, "documents"))
+
+
 @query("op_val_05_failures", f"SELECT gate, 'rerun ' || gate AS remedy FROM ({_GATES_SQL}) WHERE verdict = 'FAIL'")
 def val_05(spark, sf_dir):
     return val_03(spark, sf_dir).where("verdict = 'FAIL'").select("gate", F.concat(F.lit("rerun "), "gate").alias("remedy"))

@@ -288,3 +288,27 @@ def test_repeated_sequences_of_any_length(spark):
     assert got == P.longest_repeats(text) and [len(x) for x in got] == [1500, 1499, 1499, 1498, 1498, 1498, 1497, 1497, 1497, 1497]
     assert got[0] == one and two in P.longest_repeats(text, most=11)
     assert P.longest_repeats("x" * 5000)[0] == "x" * 2500
+
+
+def test_row_metric_rules_find_each_fault(spark):
+    good = {"sample_id": "a", "split": "train", "source": "s", "text_sha256": "0" * 64, "language": "en", "language_confidence": 0.5, "tokenizer_name": "t", "tokenizer_version": "1", "context_4k_fit": True, "context_8k_fit": True, "context_32k_fit": True, "anomaly_flags": ["x"]}
+    good |= {c: 1 for c in ("raw_bytes", "char_count", "word_count", "line_count", "token_count", "special_token_count", "unk_token_count", "truncation_at_4k", "truncation_at_8k", "truncation_at_32k")}
+    good |= {c: 0.5 for c in ("quality_score", "entropy_score", "repetition_score", "safety_risk_score")}
+    bad = {"split": "dev", "source": None, "text_sha256": "0", "language": "eng", "language_confidence": 1.5, "tokenizer_name": None, "raw_bytes": -1, "token_count": None, "truncation_at_8k": -2, "quality_score": None, "safety_risk_score": 1.1, "repetition_score": float("nan")}
+    schema = ", ".join(f"{k} {'array<string>' if k == 'anomaly_flags' else {str: 'string', float: 'double', int: 'long', bool: 'boolean'}[type(v)]}" for k, v in good.items())
+    frame = lambda *rows: spark.createDataFrame([tuple((good | r).values()) for r in rows], schema)
+    got = {r.check: r for r in V.row_metric_rules(frame({}, bad, {"sample_id": "b"})).collect()}
+    assert {c for c, r in got.items() if r.verdict == "FAIL"} == {*bad, "sample_id"} and all(got[c].violations == 1 for c in (*bad, "sample_id"))
+    assert got["exact_dup_group"].verdict == "SKIP" and got["language"].severity == "warning"
+    typed = V.row_metric_rules(frame({}).withColumn("context_4k_fit", F.lit(1)).drop("split")).collect()
+    assert {r.check: r.verdict for r in typed if r.verdict != "PASS"} == {"context_4k_fit": "FAIL", "split": "SKIP", "exact_dup_group": "SKIP", "near_dup_cluster_id": "SKIP"}
+
+
+def test_raw_gates(spark):
+    verdicts = lambda *a: "".join(r.verdict[0] for r in V.raw_gates(*a).orderBy("gate").collect())
+    split = F.when(F.col("id") < 9039, "train").when(F.col("id") < 9526, "val").otherwise("test")
+    rows = spark.range(10_000).select(split.alias("split"), F.lit("web_crawl").alias("source"))
+    ledger, totals = {"counters": {"content_tokens_non_system": 5}, "source_sha256": "ab"}, {"summary": {"content_tokens_non_system": 5}}
+    assert verdicts(rows) == "FFFSS" and verdicts(rows.limit(9_999), ledger, totals, "ab") == "FPPPP"
+    assert verdicts(rows.drop("source", "split"), ledger, {"summary": {"content_tokens_non_system": 6}}, "cd") == "PPPFF"
+    assert verdicts(rows.drop("split"), {"counters": {}}, totals) == "FPFSS"
