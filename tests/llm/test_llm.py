@@ -188,10 +188,21 @@ def test_license_scan(spark, edges, empty):
 
 
 def test_license_expressions():
-    assert license.to_rpn("MIT or (Apache-2.0 and BSD) with x") == (["mit", "apache-2.0", "bsd", "and", "x", "with", "or"], True)
-    assert license.to_rpn("MIT AND") == (["mit", "and"], False) and not license.to_rpn("")[1]
-    rpn = license.to_rpn("(a or b) and c")[0]
-    assert license.evaluate(rpn, {"a", "c"}) and not license.evaluate(rpn, {"a", "b"})
+    assert license.to_rpn("MIT or (Apache-2.0 and BSD-3-Clause) and GPL-2.0+ with Classpath-exception-2.0") == (["mit", "apache-2.0", "bsd-3-clause", "and", "gpl-2.0+", "classpath-exception-2.0", "with", "and", "or"], True)
+    assert license.to_rpn("MIT AND") == (["mit"], False) and not license.to_rpn("")[1]
+    assert license.to_rpn("MIT and some more prose follows") == (["mit"], True) and license.to_rpn("MIT AND some") == (["mit"], False)
+    assert license.to_rpn("prose MIT") == ([], False) and license.to_rpn("LicenseRef-Own-1 */") == (["licenseref-own-1"], True)
+    rpn = license.to_rpn("(MIT or ISC) and Zlib")[0]
+    assert license.evaluate(rpn, {"mit", "zlib"}) and not license.evaluate(rpn, {"mit", "isc"})
+
+
+def test_license_long_expression_and_prose(spark):
+    names = sorted(x for x in license.KNOWN if not x.startswith("cc"))[:60]
+    docs = [(1, "// SPDX-License-Identifier: " + " OR ".join(names) + "\nMIT"), (2, "spdx license identifier is a tag. MIT"), (3, "# SPDX-License-Identifier: MIT and some more prose follows"), (4, "SPDX-License-Identifier: GPL-3.0-only\nthen SPDX-License-Identifier: ISC")]
+    out = {r.doc_id: r for r in license.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out[1].labels.split(",") == names and out[1].allowed and len(out[1].expressions) > 400
+    assert (out[2].labels, out[2].allowed) == ("", None) and (out[3].labels, out[3].allowed) == ("mit", True)
+    assert out[4].labels == "gpl-3.0-only,isc" and out[4].allowed is False
 
 
 def test_license_brute_force(spark, sf):
