@@ -6,12 +6,15 @@ bins of one content form a class (content, number of bins). Best-fit decreasing
 first classes; the local search then moves a piece, swaps one for one or two for one between
 classes of underfull bins, each step raising the sum of squared fills, until bins empty.
 
-Pieces get their places by rank: the k-th piece of a length takes the k-th slot of that
-length. Ranks are counted within (length, bucket), so that a length that most pieces share
-is spread over many tasks.
-
-Defined results: a null or empty text is the end token alone; repeated rows are packed one by
-one; a null doc_id is kept; an empty table gives no rows; other columns are not looked at.
+A full piece is a sequence of its own and needs no rank, so the length that most pieces have
+costs no shuffle. The others, at most one for each document, get their places by rank: the k-th
+piece of a length takes the k-th slot of that length. Ranks are counted within (length, bucket);
+the number of buckets follows the number of pieces, so a task never sorts much more than
+`bucket_rows` rows, even where one length has them all.
+
+Defined results: a null or empty text is the end token alone; a very long text is cut into
+pieces, none dropped; repeated rows are packed one by one; a null doc_id is kept; an empty
+table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_map, written
 
@@ -32,8 +36,9 @@ from .common import arrow_map, written
 class Packing:
     size: int = 1024
     end_id: int = 2
-    #: Ranks are counted in this many parts of each length.
-    buckets: int = 128
+    #: Ranks of a length are counted in parts of about so many rows, at least `least_buckets` of them.
+    bucket_rows: int = 2_000_000
+    least_buckets: int = 8
     #: Files of the tokenizer: the library `tokenizers`' form, and the same vocabulary as ranks.
     tokenizer: str = ""
     ranks: str = ""
@@ -138,24 +143,38 @@ def best_fit(counts: np.ndarray, size: int) -> Bins:
     return bins
 
 
-def _step(a: tuple[int, ...], b: tuple[int, ...], size: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
-    """The best exchange that makes bin a, at least as full as b, fuller at b's cost."""
+def sums(content: tuple[int, ...], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths that one piece of the bin has, sums that two of its pieces have) as flags; distinct lengths tell all."""
+    one, two = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+    lengths = np.unique(content)
+    one[lengths] = True
+    for i, x in enumerate(lengths):
+        two[x + lengths[i + 1 :]] = True
+        if content.count(x) > 1:
+            two[2 * x] = True
+    return one, two
+
+
+def pair_of(content: tuple[int, ...], total: int) -> tuple[int, int]:
+    """Two pieces of a bin with this sum."""
+    return next((x, total - x) for x in sorted(set(content)) if total - x in content and (2 * x != total or content.count(x) > 1))
+
+
+def exchange(a: tuple[int, ...], b: tuple[int, ...], size: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
+    """The best exchange that makes bin a, at least as full as b, fuller at b's cost: none, one or two pieces of a for one or two of b (not two for two)."""
     room, best = size - sum(a), (0, (), ())  # gain in a's fill, out of a, out of b
-    if not room:
-        return None
-    ones_a, ones_b = [(), *((x,) for x in sorted(set(a)))], [(x,) for x in sorted(set(b))]
-    pairs = lambda bin_: list({tuple(sorted((x, y))) for i, x in enumerate(bin_[:48]) for y in bin_[i + 1 : 48]})
-    for out in ones_a:
-        for more in ones_b + (pairs(b) if out else []):
-            gain = sum(more) - sum(out)
-            if best[0] < gain <= room:
-                best = (gain, out, more)
-    if best[0] < room:
-        for out in pairs(a):
-            for more in ones_b:
-                gain = more[0] - sum(out)
-                if best[0] < gain <= room:
-                    best = (gain, out, more)
+    out_of, into = [np.flatnonzero(x) for x in sums(a, size)], [np.flatnonzero(x) for x in sums(b, size)]
+    for n_out, n_in in ((0, 1), (1, 1), (1, 2), (2, 1)):
+        outs = np.zeros(1, np.int64) if not n_out else out_of[n_out - 1]
+        ins = into[n_in - 1]
+        if not len(outs) or not len(ins):
+            continue
+        at = np.searchsorted(ins, outs + room, side="right") - 1  # the most that still fits
+        gain = np.where(at >= 0, ins[np.maximum(at, 0)] - outs, 0)
+        k = int(gain.argmax())
+        if gain[k] > best[0]:
+            out, more = int(outs[k]), int(ins[at[k]])
+            best = (int(gain[k]), (() if not n_out else (out,) if n_out == 1 else pair_of(a, out)), ((more,) if n_in == 1 else pair_of(b, more)))
     if not best[0]:
         return None
     new_a, new_b = list(a), list(b)
@@ -168,44 +187,125 @@ def _step(a: tuple[int, ...], b: tuple[int, ...], size: int) -> tuple[tuple[int,
     return tuple(sorted(new_a, reverse=True)), tuple(sorted(new_b, reverse=True))
 
 
-def local_search(bins: Bins, size: int, most_steps: int = 20_000) -> Bins:
-    """Exchanges between classes of underfull bins until none raises the sum of squared fills (or the work bound is met)."""
+class OpenClasses:
+    """Classes of underfull bins, indexed by what one and two of their pieces add up to.
+
+    For each class: `gives` flags the sums it can give (one piece, two pieces); `wants` those that would
+    raise its fill without passing the size. A row of `wants` against all rows of `gives` finds every
+    partner at once, so that no two classes are left untried.
+    """
+
+    def __init__(self, size: int):
+        self.size, self.number, self.free = size, {}, []
+        self.width = -(-(size + 1) // 64)
+        self.content: list[tuple[int, ...] | None] = []
+        self.fill = np.zeros(0, np.int64)
+        self.times = np.zeros(0, np.int64)
+        self.gives = np.zeros((2, 0, self.width), np.uint64)
+        self.wants = np.zeros((2, 0, self.width), np.uint64)
+
+    def _flags(self, x: np.ndarray) -> np.ndarray:
+        padded = np.zeros(self.width * 64, bool)
+        padded[: len(x)] = x
+        return np.packbits(padded).view(np.uint64)
+
+    def _wanted(self, out: np.ndarray, room: int) -> np.ndarray:
+        """Sums from one more than an out-sum to room more."""
+        edges = np.zeros(self.size + 2, np.int64)
+        at = np.flatnonzero(out)
+        np.add.at(edges, np.minimum(at + 1, self.size + 1), 1)
+        np.add.at(edges, np.minimum(at + room + 1, self.size + 1), -1)
+        return np.cumsum(edges)[: self.size + 1] > 0
+
+    def add(self, content: tuple[int, ...], n: int) -> int:
+        """The class's row."""
+        if (row := self.number.get(content)) is not None:
+            self.times[row] += n
+            return row
+        if not self.free:
+            more = max(64, len(self.content))
+            self.free = list(range(len(self.content) + more - 1, len(self.content) - 1, -1))
+            self.content += [None] * more
+            grow = lambda x: np.concatenate([x, np.zeros(more, np.int64)])
+            self.fill, self.times = grow(self.fill), grow(self.times)
+            wide = np.zeros((2, more, self.width), np.uint64)
+            self.gives, self.wants = np.concatenate([self.gives, wide], 1), np.concatenate([self.wants, wide], 1)
+        row = self.free.pop()
+        one, two = sums(content, self.size)
+        nothing = np.zeros(self.size + 1, bool)
+        nothing[0] = True
+        room = self.size - sum(content)
+        self.number[content], self.content[row] = row, content
+        self.fill[row], self.times[row] = sum(content), n
+        self.gives[0, row], self.gives[1, row] = self._flags(one), self._flags(two)
+        self.wants[0, row], self.wants[1, row] = self._flags(self._wanted(nothing | one | two, room)), self._flags(self._wanted(one, room))
+        return row
+
+    def take(self, row: int, n: int) -> None:
+        self.times[row] -= n
+        if not self.times[row]:
+            del self.number[self.content[row]]
+            self.content[row] = None
+            self.gives[:, row] = 0
+            self.wants[:, row] = 0
+            self.fill[row] = 0
+            self.free.append(row)
+
+    def partner(self, row: int) -> tuple[int, int] | None:
+        """(receiver, giver) of an exchange that this class can take part in: the emptiest giver, else the fullest receiver."""
+        alone = self.times[row] < 2
+        fits = ((self.wants[:, row][:, None] & self.gives).any(axis=(0, 2))) & (self.fill <= self.fill[row])
+        if alone:
+            fits[row] = False
+        if len(at := np.flatnonzero(fits)):
+            return row, int(at[self.fill[at].argmin()])
+        fits = ((self.gives[:, row][:, None] & self.wants).any(axis=(0, 2))) & (self.fill >= self.fill[row])
+        if alone:
+            fits[row] = False
+        if len(at := np.flatnonzero(fits)):
+            return int(at[self.fill[at].argmax()]), row
+        return None
+
+
+def local_search(bins: Bins, size: int) -> Bins:
+    """Exchanges between classes of underfull bins until none raises the sum of squared fills.
+
+    Every exchange raises that sum, so the search ends by itself; it stops at a packing in which no move of one
+    piece, no swap of one for one and none of two for one betters any two bins.
+    """
     full: dict[tuple[int, ...], int] = {}
-    open_: dict[tuple[int, ...], int] = {}
+    open_ = OpenClasses(size)
+    todo: dict[tuple[int, ...], None] = {}
 
     def put(content: tuple[int, ...], n: int) -> None:
-        if content and n:
-            to = full if sum(content) == size else open_
-            to[content] = to.get(content, 0) + n
-
-    for content, n in bins:
+        if not content or not n:
+            return
+        if sum(content) == size:
+            full[content] = full.get(content, 0) + n
+        else:
+            open_.add(content, n)
+            todo[content] = None
+
+    for content, n in sorted(bins, key=lambda x: -sum(x[0])):
         put(tuple(sorted(content, reverse=True)), n)
-    steps, tried = 0, set()
-    while steps < most_steps:
-        order = sorted(open_, key=lambda c: (-sum(c), c))
-        found = False
-        for b in reversed(order):  # empty the emptiest first
-            for a in order:
-                if sum(a) < sum(b) or (a == b and open_[a] < 2) or (a, b) in tried:
-                    continue
-                steps += 1
-                if (new := _step(a, b, size)) is None:
-                    tried.add((a, b))
-                    continue
-                times = open_[a] // 2 if a == b else min(open_[a], open_[b])
-                for content in (a, b):
-                    open_[content] -= times
-                    if not open_[content]:
-                        del open_[content]
-                for content in new:
-                    put(content, times)
-                found = True
-                break
-            if found or steps >= most_steps:
-                break
-        if not found:
-            break
-    return [*full.items(), *open_.items()]
+    while todo:
+        content = next(iter(todo))
+        row = open_.number.get(content)
+        if row is None or (found := open_.partner(row)) is None:
+            del todo[content]
+            continue
+        a, b = found
+        of_a, of_b = open_.content[a], open_.content[b]
+        new = exchange(of_a, of_b, size)
+        times = int(open_.times[a] // 2 if a == b else min(open_.times[a], open_.times[b]))
+        if a == b:
+            open_.take(a, 2 * times)
+        else:
+            open_.take(a, times)
+            open_.take(b, times)
+        for x in new:
+            put(x, times)
+    return [*full.items(), *((c, int(open_.times[r])) for c, r in open_.number.items())]
 
 
 def plan(counts: np.ndarray, size: int) -> Bins:
@@ -229,18 +329,21 @@ def slots(bins: Bins) -> dict[str, np.ndarray]:
 
 
 def pack(cut: DataFrame, how: Packing) -> DataFrame:
-    """cut (see `pieces`) with sequence_id and offset."""
+    """cut (see `pieces`) with sequence_id and offset; full pieces have sequence ids below 0."""
+    cut = written(cut, "pieces")
+    fields = cut.schema.fields
+    full = cut.where(F.col("length") == how.size).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    part = cut.where(F.col("length") < how.size)
+    buckets = max(how.least_buckets, -(-part.count() // how.bucket_rows))
     # The bucket comes from the row alone, so a task that runs again deals the row to the same one.
-    cut = written(cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(how.buckets)).cast("int")), "pieces")
-    counted = cut.groupBy("length", "_bucket").count().collect()  # at most size x buckets rows
-    counts = np.zeros((how.size + 1, how.buckets), np.int64)
-    for r in counted:
-        counts[r["length"], r["_bucket"]] = r["count"]
+    part = part.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
+    counted = part.groupBy("length", "_bucket").count().toArrow()  # at most size x buckets rows of 20 bytes
+    counts = np.zeros((how.size + 1, buckets), np.int64)
+    counts[counted.column("length").to_numpy(), counted.column("_bucket").to_numpy()] = counted.column("count").to_numpy()
     before = np.cumsum(counts, axis=1) - counts
     spread = cut.sparkSession.sparkContext.broadcast((before, slots(plan(counts.sum(1), how.size))))
     rank = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")) - 1
-    fields = [f for f in cut.schema.fields if f.name != "_bucket"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
+    schema = T.StructType([*fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches):
         first, table = spread.value
@@ -255,7 +358,7 @@ def pack(cut: DataFrame, how: Packing) -> DataFrame:
             out = [pa.array(table["bin"][run] + k // each), pa.array(table["offset"][run] + k % each * length)]
             yield pa.RecordBatch.from_arrays([*own, *out], names=[*(f.name for f in fields), "sequence_id", "offset"])
 
-    return cut.withColumn("_rank", rank).mapInArrow(place, schema)
+    return full.unionByName(part.withColumn("_rank", rank).mapInArrow(place, schema))
 
 
 def assemble(packed: DataFrame) -> DataFrame:

@@ -258,6 +258,29 @@ def test_packing_plan_is_whole_and_fits():
         assert sum(n for _, n in bins) <= sum(n for _, n in first)
 
 
+def test_packing_search_empties_bins_and_settles():
+    """Best-fit decreasing leaves a bin that the search empties; many small pieces of a bin are all offered."""
+    for lengths, size, wanted in (([20, 18, 15, 14, 13, 11], 47, 2), ([15, 14, 8, 8, 7, 6, 3], 31, 2), ([13, 11, 10, 9, 7, 7, 5, 4], 22, 3)):
+        first = packing.best_fit(np.bincount(lengths, minlength=size + 1), size)
+        assert sum(n for _, n in first) == wanted + 1
+        assert sum(n for _, n in packing.local_search(first, size)) == wanted
+    # 60 pieces of 10 and one of 5 in a bin: only the last two can fill up the other bin.
+    many = [((10,) * 60 + (5,), 1), ((1009,), 1)]
+    assert sorted(sum(c) for c, n in packing.local_search(many, 1024)) == [590, 1024]
+    lengths = np.random.default_rng(1).integers(200, 500, 4000)
+    first = packing.best_fit(np.bincount(lengths, minlength=1025), 1024)
+    last = packing.local_search(first, 1024)
+    assert sum(n for _, n in last) < sum(n for _, n in first)
+    left = [c for c, n in last if sum(c) < 1024 for _ in range(min(n, 2))]
+    for i, a in enumerate(left):  # brute force: nothing betters any two bins
+        for b in left[i + 1 :]:
+            x, y = (a, b) if sum(a) >= sum(b) else (b, a)
+            room = 1024 - sum(x)
+            two = lambda c: {c[i] + c[j] for i in range(len(c)) for j in range(i)}
+            gains = {p - o for p in y for o in {0, *x, *two(x)}} | {p - o for p in two(y) for o in x}
+            assert not any(0 < g <= room for g in gains)
+
+
 def test_packing_matches_the_tokenizer(spark, edges, empty):
     from tokenizers import Tokenizer
 
@@ -291,6 +314,18 @@ def test_both_encoders_agree(text):
     assert packing.Encoder(how.tokenizer, how.ranks)(text) == packing.Encoder(how.tokenizer)(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(alphabet=st.characters(max_codepoint=0x250), max_size=120), st.text(alphabet=" \t\n\r\x0b\x1c\x85\xa0'stvdlm09Aéß‘’–…<|endoftext|>", max_size=80)))
+def test_both_encoders_agree_on_any_text(text):
+    global _encoders
+    try:
+        fast, slow = _encoders
+    except NameError:
+        how = packing.default_packing()
+        fast, slow = _encoders = packing.Encoder(how.tokenizer, how.ranks), packing.Encoder(how.tokenizer)
+    assert fast(text) == slow(text)
+
+
 def test_cuts():
     assert packing.cuts(5, 4) == [(0, 1), (1, 4)] and packing.cuts(8, 4) == [(0, 4), (4, 4)] and packing.cuts(1, 4) == [(0, 1)]
 
