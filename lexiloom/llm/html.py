@@ -1,330 +1,125 @@
 r"""Main text of web pages by wrapper induction over pages of one host.
 
-1. Every page is parsed to a DOM tree and reduced to a skeleton: for each node its depth, a
-   hash of its label (tag, class, id) and a hash of its own text.
-2. Skeletons are sorted by host and dealt by range, so that a host with a third of all pages
-   lies on many tasks. Each page is aligned with the page before it, if that is of the same
-   host, by simple tree matching; matched nodes of equal text count as constant for their
-   path (labels from the root), others as varying.
-3. A block whose path is constant in nearly all alignments of a host is template; varying
-   slots are content. In a page, the content lies in its outermost landmarks (article, main; all of
-   them) or, without one, in the whole page but for template blocks. Of a template block only its own
-   text goes, where it is one that the host repeats there; blocks in it are judged by themselves.
-   A landmark whose text would nearly all go stays whole. Menus, headers, footers,
-   sidebars, notices, adverts, forms, scripts, styles and comments are left out by their
-   tags and labels, also where their text varies.
+1. Every page is parsed once to a tree of blocks (see `dom`) and written with its text runs.
+2. Each host with `min_pages` pages gets a pivot, the page of median size; its nodes are the
+   slots of the host's wrapper. All its pages are matched with the pivot by simple tree matching
+   (see `wrapper`). Pages are sorted by host and dealt by range, so that a host with a third
+   of all pages lies on many tasks; each page is held against the page before it: slots where
+   the two have equal text count as constant, others as varying.
+3. The wrapper follows: the slot that holds most of the varying text is the main slot; slots beside it
+   that hold prose or a fair part of the varying text are content too, all others are template.
+   A landmark (article, main) around the main slot widens it to the landmark. In content, a
+   block whose slot is constant loses the text that the host repeats there; blocks in it are
+   judged by themselves. A page whose content would nearly all go by this keeps it whole.
+4. Each page's nodes take the verdict of their slot, unmatched ones that of the block around
+   them. A page without a wrapper, or without any of its content slots, is read by its landmarks or,
+   without one, whole. Menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+   styles and comments are left out by tags and labels, also where their text varies.
 
 Texts: character references decoded, white space inside a block made one space, blocks
 trimmed and joined in page order by one space.
 
-Defined results: null or empty html gives an empty text; a page without a url, or alone on
-its host, has no template and is read by its landmarks; repeated rows are read one by one;
-cut-off markup ends at the cut; other columns are not looked at; an empty table gives no rows.
+Defined results: null or empty html gives an empty text; a page without a url, or of a host of
+fewer pages, has no wrapper; very long and very deep pages are read whole, in linear time for the
+parser; repeated rows are read one by one; cut-off markup ends at the cut; other columns are not
+looked at; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
 from collections import Counter
-from collections.abc import Callable
 from dataclasses import dataclass
-from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import arrow_map, written
+from .dom import DROP, LANDMARK, PROSE_TAG, Page, parents, parse
+from .wrapper import CONTENT, OUTSIDE, PATH, Judge, Matcher, Tree, constant, tree, verdicts
 
 
 @dataclass(frozen=True)
-class Wrapper:
-    #: A path is template if this share of a host's alignments, and so many at least, had equal text there.
-    constant_share: float = 0.9
-    min_alignments: int = 4
-    #: Templates (host with its paths) up to this number are broadcast; beyond it they are joined by shuffle.
-    max_broadcast: int = 100_000
-
-
-# Fixed values of HTML: elements without content, with raw text, and that begin a block.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
-BLOCK = frozenset("address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
-# Start tags that end an open element of the same kind.
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-SCOPES = frozenset("ul ol dl table select div article section main nav aside body".split())
-# Tags and label words of what is no content.
-BOILERPLATE_TAGS = frozenset("head nav header footer aside form script style noscript iframe template select button input textarea svg canvas object dialog menu title".split())
-BOILERPLATE_WORDS = frozenset("ad ads advert adverts advertisement banner sponsor sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs header masthead footer sidebar aside widget cookie cookies consent notice notices alert popup modal newsletter subscribe share sharing social related recommended comment comments disqus respond replies login search pagination pager copyright legal skip".split())
-BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^<>]*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<>]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|(?=[\s/]|\Z))", re.I)
-_WORD = re.compile(r"[A-Za-z]+")
-_SPACE = re.compile(r"\s+")
-
-
-class Node:
-    __slots__ = ("tag", "names", "role", "parts", "parent", "path")
-
-    def __init__(self, tag: str, names: str = "", role: str = "", parent: Node | None = None):
-        self.tag, self.names, self.role, self.parent = tag, names, role, parent
-        self.parts: list[Node | str] = []
-        self.path = zlib.crc32(f"{tag} {names}".encode(), (parent.path if parent else 0))
-
-    @property
-    def children(self) -> list[Node]:
-        return [x for x in self.parts if isinstance(x, Node)]
-
-    def block_text(self) -> str:
-        """Text of the node and of the inline elements in it."""
-        out, todo = [], list(reversed(self.parts))
-        while todo:
-            x = todo.pop()
-            if isinstance(x, str):
-                out.append(x)
-            elif x.tag not in BLOCK and x.tag not in RAW:
-                todo.extend(reversed(x.parts))
-        return _SPACE.sub(" ", "".join(out)).strip()
-
-
-def parse(html: str) -> Node:
-    """A tree of what the page holds; every fault is mended in the simplest way."""
-    root = node = Node("#root")
-    at, size = 0, len(html)
-    while at < size:
-        m = _TOKEN.search(html, at)
-        stop = m.start() if m else size
-        if stop > at:
-            node.parts.append(unescape(html[at:stop]))
-        if not m:
-            break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
-            continue
-        if m[1] or m[4]:
-            up = node
-            while up.parent is not None and up.tag != tag:
-                up = up.parent
-            if up.parent is not None:
-                node = up.parent
-            continue
-        names = role = ""
-        given = m[3] or m[6] or ""
-        if given:
-            for key, value in _ATTRIBUTE.findall(given):
-                key = key.lower()
-                if key == "role":
-                    role = value.strip("\"'").lower()
-                elif key == "hidden":
-                    role = "hidden"
-                else:
-                    names += " " + value.strip("\"'")
-        if tag in BLOCK and tag != "br":
-            up = node
-            while up.parent is not None and up.tag not in SCOPES and up.tag != "p":
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
-        if tag in CLOSES:
-            up = node
-            while up.parent is not None and up.tag not in SCOPES and up.tag not in CLOSES[tag]:
-                up = up.parent
-            if up.tag in CLOSES[tag]:
-                node = up.parent
-        new = Node(tag, names.strip(), role, node)
-        node.parts.append(new)
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|</{re.escape(tag)}\Z", re.I).search(html, at)
-            if tag in ("title", "textarea"):
-                new.parts.append(unescape(html[at : end.start() if end else size]))
-            at = end.end() if end else size
-        elif tag not in VOID and not given.endswith("/"):
-            node = new
-    return root
-
-
-def boilerplate(node: Node) -> bool:
-    if node.tag in BOILERPLATE_TAGS or node.role in BOILERPLATE_ROLES or node.role == "hidden":
-        return True
-    return bool(node.names) and node.tag not in ("body", "html", "main", "article") and not BOILERPLATE_WORDS.isdisjoint(w.lower() for w in _WORD.findall(node.names))
-
-
-def landmark(node: Node) -> bool:
-    return node.tag in ("article", "main") or node.role == "main"
-
-
-# ---- skeletons and their alignment
-
-Skeleton = tuple[np.ndarray, np.ndarray, np.ndarray]  # depth, path, text, in document order
-
-
-def text_hash(text: str) -> int:
-    """0 for no text."""
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) if text else 0
-
-
-def skeleton(root: Node) -> Skeleton:
-    rows, stack = [], [(root, 0)]
-    while stack:
-        node, depth = stack.pop()
-        text = node.block_text() if node.tag in BLOCK else ""
-        rows.append((depth, node.path, text_hash(text)))
-        stack.extend((c, depth + 1) for c in reversed(node.children))
-    table = np.array(rows, np.int64)
-    return table[:, 0], table[:, 1], table[:, 2]
-
-
-def kids(depth: np.ndarray) -> list[list[int]]:
-    """Children of each node of a skeleton."""
-    out: list[list[int]] = [[] for _ in depth]
-    last: dict[int, int] = {}
-    for i, d in enumerate(depth.tolist()):
-        if d:
-            out[last[d - 1]].append(i)
-        last[d] = i
-    return out
-
-
-def match_trees(a: Skeleton, b: Skeleton, most_cells: int = 4096) -> list[tuple[int, int]]:
-    """Simple tree matching of two pages: pairs of nodes that correspond.
-
-    Roots must agree; the children of a matched pair are aligned in order for the largest
-    sum of matched subtrees. Equal labels at both ends of two child lists are matched at
-    once; the dynamic program runs on what is between, where sizes stand for subtree scores
-    beyond `most_cells` cells.
-    """
-    path_a, path_b = a[1].tolist(), b[1].tolist()
-    kids_a, kids_b = kids(a[0]), kids(b[0])
-    pairs: list[tuple[int, int]] = []
-    if not path_a or not path_b or path_a[0] != path_b[0]:
-        return pairs
-    known: dict[tuple[int, int], int] = {}
-
-    def score(i: int, j: int, depth: int = 0) -> int:
-        """Matched nodes of the subtrees, for trees of moderate depth."""
-        if path_a[i] != path_b[j]:
-            return 0
-        if (i, j) in known:
-            return known[i, j]
-        x, y = kids_a[i], kids_b[j]
-        if depth > 40 or len(x) * len(y) > most_cells:
-            total = 1 + min(len(x), len(y))
-        else:
-            row = [0] * (len(y) + 1)
-            for p in x:
-                new = [0]
-                for q, c in enumerate(y):
-                    new.append(max(new[q], row[q + 1], row[q] + score(p, c, depth + 1)))
-                row = new
-            total = 1 + row[-1]
-        known[i, j] = total
-        return total
-
-    stack = [(0, 0)]
-    while stack:
-        i, j = stack.pop()
-        pairs.append((i, j))
-        x, y = kids_a[i], kids_b[j]
-        low, high = 0, min(len(x), len(y))
-        while low < high and path_a[x[low]] == path_b[y[low]]:
-            stack.append((x[low], y[low]))
-            low += 1
-        end = 0
-        while low + end < high and path_a[x[-1 - end]] == path_b[y[-1 - end]]:
-            stack.append((x[-1 - end], y[-1 - end]))
-            end += 1
-        x, y = x[low : len(x) - end], y[low : len(y) - end]
-        if not x or not y or not {path_a[p] for p in x} & {path_b[q] for q in y}:
-            continue
-        if len(x) * len(y) > most_cells:  # too many for the program: labels in order
-            at = 0
-            for p in x:
-                for q in range(at, len(y)):
-                    if path_a[p] == path_b[y[q]]:
-                        stack.append((p, y[q]))
-                        at = q + 1
-                        break
-            continue
-        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
-        for p in range(len(x) - 1, -1, -1):
-            for q in range(len(y) - 1, -1, -1):
-                best[p][q] = max(best[p + 1][q], best[p][q + 1], best[p + 1][q + 1] + score(x[p], y[q]))
-        p = q = 0
-        while p < len(x) and q < len(y):
-            if best[p][q] == best[p + 1][q]:
-                p += 1
-            elif best[p][q] == best[p][q + 1]:
-                q += 1
-            else:
-                stack.append((x[p], y[q]))
-                p, q = p + 1, q + 1
-    return pairs
+class Wrapper(Judge):
+    #: Hosts of fewer pages get no wrapper.
+    min_pages: int = 5
+    #: A text is the host's own in a slot if it was equal in so many pairs, and in this share of them.
+    text_share: float = 0.05
+    #: Of a page's content, so much at least must stay beside repeated texts, or none of these goes.
+    least_left: float = 0.1
+    #: Pivots or wrappers of up to so many bytes together are broadcast; beyond it hosts are joined by shuffle,
+    #: but for those with over `hot_share` of the pages (at most 1 / hot_share of them).
+    max_broadcast_bytes: int = 32 << 20
+    hot_share: float = 0.002
+
+
+@dataclass
+class Slots:
+    """A host's wrapper as applied to a page."""
+
+    verdict: np.ndarray
+    fixed: dict[int, frozenset[int]]  # constant slots and the texts that the host repeats there
+    main_chars: float
+    by_landmark: bool
 
 
 # ---- reading one page
 
 
-def main_text(root: Node, template: dict[int, frozenset[int]], how: Wrapper = Wrapper()) -> str:
-    """The content's blocks, joined by one space. template: by path, hashes of the texts that the host repeats there."""
-    fixed = lambda n: n.tag in BLOCK and n.path in template and text_hash(n.block_text()) in template[n.path]
-    held: dict[int, int] = {}
-    order: list[Node] = []
-    stack = [root]
-    while stack:  # nodes of possible content, in page order
-        node = stack.pop()
-        order.append(node)
-        stack.extend(c for c in reversed(node.children) if not boilerplate(c))
-    for node in reversed(order):
-        held[id(node)] = sum(len(x.strip()) if isinstance(x, str) else held.get(id(x), 0) for x in node.parts)
-    tops: list[Node] = []
-    covered: set[int] = set()
-    for node in order:
-        if id(node.parent) in covered or landmark(node) and held[id(node)]:
-            covered.add(id(node))
-            if id(node.parent) not in covered:
-                tops.append(node)
-    kept, rest = read(tops or [root], fixed)
-    if tops and rest and len(kept) < (1 - how.constant_share) * (len(kept) + rest):
-        kept, _ = read(tops, lambda _: False)  # pages of a host that share their content
+def alone(page: Page) -> list[bool]:
+    """Which runs are content of a page without a wrapper: those in landmarks, or all."""
+    up = parents(page.depth.tolist())
+    inside = [False] * len(up)
+    flags = page.flags.tolist()
+    for i, p in enumerate(up):
+        inside[i] = not flags[i] & DROP and bool(flags[i] & LANDMARK or (p >= 0 and inside[p]))
+    kept = [inside[i] for i in page.run_node.tolist()]
+    return kept if any(kept) else [True] * len(kept)
+
+
+def wrapped(page: Page, own: Tree, slots: list[int], w: Slots, how: Wrapper) -> list[bool] | None:
+    """Which runs are content by the wrapper; None if the page has none of its content slots."""
+    verdict = w.verdict.tolist()
+    if not any(s >= 0 and verdict[s] == CONTENT for s in slots):
+        return None
+    flags, n = page.flags.tolist(), len(slots)
+    chars, linked = page.own.astype(np.int64).tolist(), page.link.astype(np.int64).tolist()
+    for i in range(n - 1, 0, -1):
+        if not flags[i] & DROP:
+            chars[own.up[i]] += chars[i]
+            linked[own.up[i]] += linked[i]
+    state = [OUTSIDE] * n
+    for i in range(n):
+        around = state[own.up[i]] if i else PATH
+        if flags[i] & DROP:
+            continue
+        if around == CONTENT or flags[i] & LANDMARK:
+            state[i] = CONTENT
+        elif slots[i] >= 0:
+            state[i] = verdict[slots[i]] if around == PATH else OUTSIDE
+        elif around == PATH and not w.by_landmark:
+            enough = flags[i] & PROSE_TAG or chars[i] >= how.beside_share * w.main_chars
+            state[i] = CONTENT if enough and linked[i] <= how.link_share * chars[i] else OUTSIDE
+        elif around == PATH:
+            state[i] = PATH
+    text = page.text.tolist()
+    kept, repeated = [], []
+    for i in page.run_node.tolist():
+        inside = state[i] == CONTENT or (state[i] == PATH and not w.by_landmark)
+        own_text = inside and slots[i] in w.fixed and text[i] in w.fixed[slots[i]]
+        kept.append(inside and not own_text)
+        repeated.append(inside and own_text)
+    size = lambda which: sum(len(r) for r, k in zip(page.runs, which, strict=True) if k)
+    if any(repeated) and size(kept) < how.least_left * (size(kept) + size(repeated)):
+        return [a or b for a, b in zip(kept, repeated, strict=True)]  # pages of a host that share their content
     return kept
 
 
-def read(tops: list[Node], fixed: Callable[[Node], bool]) -> tuple[str, int]:
-    """The blocks of these subtrees without boilerplate and without the own text of fixed blocks; how many characters those had."""
-    blocks: list[str] = []
-    line: list[str] = []
-    left_out = 0
-
-    def end_block() -> None:
-        if line:
-            if text := _SPACE.sub(" ", "".join(line)).strip():
-                blocks.append(text)
-            line.clear()
-
-    for top in tops:
-        todo: list[tuple[Node | str | None, bool]] = [(top, False)]  # and whether it is text of a fixed block
-        while todo:
-            x, out = todo.pop()
-            if x is None:
-                end_block()
-            elif isinstance(x, str):
-                if out:
-                    left_out += len(x.strip())
-                else:
-                    line.append(x)
-            elif x is top or not boilerplate(x):
-                if x.tag in BLOCK:
-                    end_block()
-                    todo.append((None, False))
-                    out = fixed(x)
-                todo.extend((y, out) for y in reversed(x.parts))
-        end_block()
-    return " ".join(blocks), left_out
+def main_text(page: Page, kept: list[bool]) -> str:
+    return " ".join(r for r, k in zip(page.runs, kept, strict=True) if k)
 
 
 # ---- Spark
@@ -336,91 +131,172 @@ def host_of(url: Column) -> Column:
     return F.translate(found, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def skeletons(pages: DataFrame) -> DataFrame:
-    """host, depth, path and text of each page that has a host and html."""
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        depth, path, text = [], [], []
-        for html in batch.column("html").to_pylist():
-            d, p, t = skeleton(parse(html))
-            depth.append(d.astype("<u2").tobytes())
-            path.append(p.astype("<u4").tobytes())
-            text.append(t.astype("<u4").tobytes())
-        return pa.RecordBatch.from_arrays([batch.column("host"), batch.column("spread"), *(pa.array(x, pa.binary()) for x in (depth, path, text))], names=["host", "spread", "depth", "path", "text"])
+ARRAYS = {"depth": np.uint32, "label": np.uint32, "flags": np.uint8, "own": np.uint32, "link": np.uint32, "text_hash": np.uint32, "run_node": np.uint32}
 
-    rows = pages.select(host_of(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("spread"), "html").where("host <> '' AND html IS NOT NULL")
-    return arrow_map(rows, step, "host string, spread long, depth binary, path binary, text binary", "html")
 
+def parsed(pages: DataFrame) -> DataFrame:
+    """page_id, url, host, spread, n (nodes), the arrays of the page as binaries, runs."""
 
-def evidence(bones: DataFrame) -> DataFrame:
-    """host, path, text, same, seen: at text 0, alignments in which the path's text was equal, and all; else those in which this text was equal."""
-    n = max(1, int(bones.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = bones.repartitionByRange(n, "host", "spread").sortWithinPartitions("host", "spread")
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cols: list[list] = [[] for _ in range(len(ARRAYS) + 2)]
+        for html in batch.column("html").to_pylist():
+            page = parse(html or "")
+            row = (len(page.depth), *(x.tobytes() for x in (page.depth, page.label, page.flags, page.own, page.link, page.text, page.run_node)), page.runs)
+            for col, value in zip(cols, row, strict=True):
+                col.append(value)
+        kinds = [pa.int64(), *[pa.binary()] * len(ARRAYS), pa.list_(pa.string())]
+        new = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "url", "host", "spread")), *new], names=["page_id", "url", "host", "spread", "n", *ARRAYS, "runs"])
+
+    rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("spread"), "html")
+    more = [T.StructField("n", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ARRAYS), T.StructField("runs", T.ArrayType(T.StringType()))]
+    return arrow_map(rows, step, T.StructType([*(rows.schema[c] for c in ("page_id", "url", "host", "spread")), *more]), "html")
+
+
+def pivots(blocks: DataFrame, how: Wrapper) -> DataFrame:
+    """host, pages, and the arrays p_depth, p_label, p_flags of its pivot: of the pages nearest to the median size, that of the smallest hash."""
+    sizes = blocks.where("host <> ''").select("host", "n", "spread")
+    middle = sizes.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), F.percentile(F.least("n", F.lit(100_000)), 0.5).alias("median")).where(F.col("pages") >= how.min_pages)
+    chosen = sizes.join(middle, "host").groupBy("host").agg(F.min(F.struct(F.abs(F.col("n") - F.col("median")), "spread")).alias("c"), F.first("pages").alias("pages"))
+    chosen = chosen.select("host", "pages", F.col("c.spread").alias("spread"))
+    arrays = blocks.select("host", "spread", "depth", "label", "flags").join(chosen, ["host", "spread"])
+    return arrays.groupBy("host").agg(F.first("pages").alias("pages"), F.min(F.struct("depth", "label", "flags")).alias("p")).select("host", "pages", *(F.col(f"p.{c}").alias(f"p_{c}") for c in ("depth", "label", "flags")))
+
+
+def by_host(rows: DataFrame, table: DataFrame, columns: list[str], how: Wrapper, kind: str) -> DataFrame:
+    """rows joined with a written table of one row per host; the way depends on that table's bytes, never the result."""
+    known = table.agg(F.sum("bytes"), F.sum("pages")).first()
+    own = table.select("host", *columns)
+    if (known[0] or 0) <= how.max_broadcast_bytes:
+        return rows.join(F.broadcast(own), "host", kind)
+    hot = table.where(F.col("pages") > how.hot_share * known[1]).select("host", *columns)
+    names = F.broadcast(hot.select("host"))
+    return rows.join(F.broadcast(hot), "host").unionByName(rows.join(names, "host", "left_anti").join(own, "host", kind))
+
+
+SLOT_SUMS = ("own", "link", "same", "pairs")
+
+
+def evidence(blocks: DataFrame, pivot: DataFrame, how: Wrapper) -> DataFrame:
+    """host, slot, text and sums: at text 0 those of the slot (SLOT_SUMS), else in `same` the pairs in which this text was equal."""
+    spread = max(1, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bones = by_host(blocks.select("host", "spread", "depth", "label", "own", "link", "text_hash"), pivot, ["p_depth", "p_label"], how, "inner")
+    dealt = bones.repartitionByRange(spread, "host", "spread").sortWithinPartitions("host", "spread")
+    schema = "host string, slot long, text long, own long, link long, same long, pairs long"
 
     def run(batches):
-        before, same, seen = None, Counter(), Counter()
-        read = lambda b, kind: np.frombuffer(b, kind).astype(np.int64)
+        matcher, host, sums, texts, before = Matcher(), None, None, Counter(), None
 
         def told():
-            keys = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array([k[2] for k in keys], pa.int64()), pa.array([same[k] for k in keys], pa.int64()), pa.array([seen[k] for k in keys], pa.int64())], names=["host", "path", "text", "same", "seen"])
+            rows = [(i, 0, *r) for i, r in enumerate(sums.T.tolist()) if any(r)] + [(s, t, 0, 0, k, 0) for (s, t), k in texts.items()]
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            return pa.RecordBatch.from_arrays([pa.array([host] * len(rows), pa.string()), *(pa.array(c, pa.int64()) for c in columns)], names=["host", "slot", "text", *SLOT_SUMS])
 
         for batch in batches:
-            for host, depth, path, text in zip(*(batch.column(c).to_pylist() for c in ("host", "depth", "path", "text")), strict=True):
-                bone = (read(depth, "<u2"), read(path, "<u4"), read(text, "<u4"))
-                if before is not None and before[0] == host:
-                    t, s = before[1][2].tolist(), bone[2].tolist()
-                    paths = bone[1].tolist()
-                    state: dict[int, bool] = {}
-                    equal_texts: set[tuple[int, int]] = set()
-                    for i, j in match_trees(before[1], bone):
-                        if t[i] or s[j]:  # nodes that hold text themselves
-                            state[paths[j]] = state.get(paths[j], True) and t[i] == s[j]
-                            if t[i] == s[j]:
-                                equal_texts.add((paths[j], s[j]))
-                    for p, equal in state.items():
-                        seen[host, p, 0] += 1
-                        same[host, p, 0] += equal
-                    for p, text in equal_texts:
-                        seen[host, p, text] += 1
-                        same[host, p, text] += 1
-                before = (host, bone)
-            if len(seen) > 100_000:
-                yield told()
-                same.clear()
-                seen.clear()
-        if seen:
+            names = ("host", "depth", "label", "own", "link", "text_hash", "p_depth", "p_label")
+            for h, depth, label, own, link, text, p_depth, p_label in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if h != host or len(texts) > 50_000:
+                    if host is not None:
+                        yield told()
+                    if h != host:
+                        before = None
+                    host, sums = h, np.zeros((4, len(p_depth) // 4), np.int64)
+                    texts.clear()
+                page = tree(np.frombuffer(depth, np.uint32), np.frombuffer(label, np.uint32))
+                slots = matcher(h, p_depth, p_label, page)
+                near = list(slots)  # the slot of a node or of the nearest matched block around it
+                for i in range(1, len(near)):
+                    if near[i] < 0:
+                        near[i] = near[page.up[i]]
+                at = np.array(near)
+                if (at >= 0).all():
+                    np.add.at(sums[0], at, np.frombuffer(own, np.uint32))
+                    np.add.at(sums[1], at, np.frombuffer(link, np.uint32))
+                words = np.frombuffer(text, np.uint32).tolist()
+                now = {s: words[i] for i, s in enumerate(slots) if s >= 0}
+                for s in now.keys() & before.keys() if before is not None else ():
+                    if now[s] or before[s]:
+                        sums[3, s] += 1
+                        if now[s] == before[s]:
+                            sums[2, s] += 1
+                            texts[s, now[s]] += 1
+                before = now
+        if host is not None:
             yield told()
 
-    parts = dealt.mapInArrow(run, "host string, path long, text long, same long, seen long")
-    return parts.groupBy("host", "path", "text").agg(F.sum("same").alias("same"), F.sum("seen").alias("seen"))
-
-
-def templates(pages: DataFrame, how: Wrapper = Wrapper()) -> tuple[DataFrame, int]:
-    """(host, paths of its template with the texts repeated there; their number). A host whose pages are all alike shows nothing of what varies and gets none."""
-    found = evidence(written(skeletons(pages), "skeletons"))
-    count = lambda c: F.coalesce(F.sum(F.when(F.col("text") == 0, F.col(c))), F.lit(0)).alias(c)
-    repeated = F.when((F.col("text") != 0) & (F.col("same") >= how.min_alignments), F.col("text"))
-    by_path = found.groupBy("host", "path").agg(F.collect_list(repeated).alias("texts"), count("same"), count("seen"))
-    constant = (F.col("same") >= how.constant_share * F.col("seen")) & (F.col("seen") >= how.min_alignments)
-    by_host = by_path.groupBy("host").agg(F.collect_list(F.when(constant, F.struct("path", "texts"))).alias("template"), F.count_if(~constant).alias("varying"))
-    out = written(by_host.where("varying > 0 AND size(template) > 0").select("host", "template"), "templates")
-    return out, out.count()
+    found = dealt.mapInArrow(run, schema)
+    return found.groupBy("host", "slot", "text").agg(*(F.sum(c).alias(c) for c in SLOT_SUMS))
+
+
+def wrappers(blocks: DataFrame, how: Wrapper = Wrapper()) -> DataFrame:
+    """host, pages, bytes, the pivot's arrays and, of each slot with evidence, its sums and repeated texts; a row is bounded by its pivot."""
+    pivot = pivots(blocks, how)
+    pivot = written(pivot.withColumn("bytes", F.octet_length("p_depth") + F.octet_length("p_label") + F.octet_length("p_flags")), "pivots")
+    found = written(evidence(blocks, pivot, how), "evidence")
+    slots = found.where("text = 0").select("host", "slot", *SLOT_SUMS)
+    texts = found.where("text <> 0").join(slots.select("host", "slot", F.col("pairs").alias("of")), ["host", "slot"])
+    texts = texts.where((F.col("same") >= how.min_pairs) & (F.col("same") >= how.text_share * F.col("of")) & (F.col("of") >= how.min_pairs))
+    texts = texts.groupBy("host", "slot").agg(F.sort_array(F.collect_list("text")).alias("texts"))  # at most 1 / text_share of them
+    rows = slots.join(texts, ["host", "slot"], "left").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", *SLOT_SUMS, "texts"))).alias("slots"))
+    out = pivot.join(rows, "host").withColumn("bytes", F.col("bytes") + 60 * F.size("slots"))
+    return written(out, "wrappers")
+
+
+def applied(host: dict, how: Wrapper) -> tuple[Slots, int]:
+    """(the wrapper of a row of `wrappers`; its template slots)."""
+    pivot = tree(np.frombuffer(host["p_depth"], np.uint32), np.frombuffer(host["p_label"], np.uint32))
+    sums = np.zeros((4, len(pivot.label)), np.int64)
+    texts = {}
+    for s in host["slots"]:
+        sums[:, s["slot"]] = [s[c] for c in SLOT_SUMS]
+        if s["texts"]:
+            texts[s["slot"]] = frozenset(s["texts"])
+    own, link, same, pairs = sums
+    fixed = constant(same, pairs, how)
+    flags = np.frombuffer(host["p_flags"], np.uint8)
+    verdict, chars, by_landmark = verdicts(pivot, flags, host["pages"], fixed, own, link, how)
+    n_template = int(((verdict != CONTENT) & (verdict != PATH) | fixed).sum())
+    return Slots(verdict, {int(s): texts.get(int(s), frozenset()) for s in np.flatnonzero(fixed)}, chars, by_landmark), n_template
 
 
 def extract(pages: DataFrame, how: Wrapper = Wrapper()) -> DataFrame:
-    """page_id, url, text, n_chars, n_template (paths of the host's template)."""
+    """page_id, url, text, n_chars, n_template (slots of the host's wrapper that are template; 0 without one)."""
     pages = pages.select("page_id", "url", "html")
-    known, n = templates(pages, how)
-    joined = pages.withColumn("_host", host_of(F.col("url"))).join((F.broadcast(known) if n <= how.max_broadcast else known).withColumnRenamed("host", "_host"), "_host", "left").drop("_host")
-
-    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, counts = [], []
-        for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True):
-            texts.append(main_text(parse(html), {x["path"]: frozenset(x["texts"]) for x in template or ()}, how) if html else "")
-            counts.append(len(template or ()))
-        sizes = [len(t) for t in texts]
-        return pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_template"])
-
+    blocks = written(parsed(pages), "blocks")
+    known = wrappers(blocks, how)
+    joined = by_host(blocks.select("page_id", "url", "host", *ARRAYS, "runs"), known, ["pages", "p_depth", "p_label", "p_flags", "slots"], how, "left")
     schema = T.StructType([*(pages.schema[c] for c in ("page_id", "url")), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("n_template", T.LongType())])
-    return arrow_map(joined, step, schema, "html")
+    wrapper_columns = ("pages", "p_depth", "p_label", "p_flags", "slots")
+
+    def run(batches):
+        matcher = Matcher()
+        kept: dict[str, tuple[Slots, int]] = {}
+        for batch in batches:
+            # Rows of one host stand together, so that the matcher changes its pivot once a host.
+            batch = batch.take(pa.compute.sort_indices(batch.column("host")))
+            texts, counts, last, row = [], [], None, None
+            hosts = batch.column("host").to_pylist()
+            arrays = {c: batch.column(c) for c in ARRAYS}
+            for i, host in enumerate(hosts):
+                a = {c: np.frombuffer(arrays[c][i].as_buffer(), kind) for c, kind in ARRAYS.items()}
+                page = Page(a["depth"], a["label"], a["flags"], a["own"], a["link"], a["text_hash"], a["run_node"], batch.column("runs")[i].as_py())
+                if host != last:
+                    row = {c: batch.column(c)[i].as_py() for c in wrapper_columns} if batch.column("slots")[i].is_valid else None
+                    last = host
+                    if row is not None and host not in kept:
+                        if len(kept) > 1000:
+                            kept.clear()
+                        kept[host] = applied(row, how)
+                which, n = None, 0
+                if row is not None and page.runs:
+                    w, n = kept[host]
+                    own = tree(page.depth, page.label)
+                    which = wrapped(page, own, matcher(host, row["p_depth"], row["p_label"], own), w, how)
+                elif row is not None:
+                    n = kept[host][1]
+                texts.append(main_text(page, alone(page) if which is None else which))
+                counts.append(n)
+            sizes = [len(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["page_id", "url", "text", "n_chars", "n_template"])
+
+    return joined.mapInArrow(run, schema)
