@@ -218,17 +218,107 @@ def test_license_brute_force(spark, sf):
 # ---- op5
 
 
+def brute_tokens(url):
+    if url is None or "://" not in url:
+        return set()
+    scheme, _, rest = url.partition("://")
+    before, _, query = rest.partition("#")[0].partition("?")
+    host, slash, path = before.partition("/")
+    labels = [x for x in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host).split(".") if x]
+    segments = [x for x in path.lower().split("/") if x]
+    out = {"scheme:" + scheme.lower()} | {".".join(labels[i:]) for i in range(len(labels))}
+    out |= {"h:" + w for x in labels[:-1] for w in re.findall(r"[^\W_]+", x)} | {"q:" + p.split("=")[0].lower() for p in query.split("&") if p}
+    out |= {"d:" + w for x in segments for w in re.findall(r"(?:[^\W_]|#)+", re.sub(r"\d+", "#", x))}
+    return out | ({f"n:{len(segments)}"} if slash else set())
+
+
+def brute_host_path(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), re.match(r"[^?#]*", rest[len(host) :])[0]
+
+
+def brute_given(host, path):
+    fits = [(len(h + p), h + p, v) for v, h, p in urls.GIVEN if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+def brute_rules(labelled, how):
+    """Support, confidence and pruning by counting every subset."""
+    import itertools
+
+    n, where = len(labelled), collections.defaultdict(set)
+    for i, (own, _) in enumerate(labelled):
+        for t in own:
+            where[t].add(i)
+    frequent = {t: frozenset(s) for t, s in where.items() if len(s) >= how.min_support * n}
+    first = {s: min(t for t in frequent if frequent[t] == s) for s in frequent.values()}
+    kinds = sorted({v for _, v in labelled})
+    totals = np.array([sum(v == k for _, v in labelled) for k in kinds], float)
+    names = sorted(first.values())
+    told = urls.gain(np.array([[sum(labelled[i][1] == k for i in frequent[t]) for k in kinds] for t in names], float), totals)
+    rank = {t: (-round(float(g), 12), t) for t, g in zip(names, told, strict=True)}
+    counts = collections.Counter()
+    for own, v in labelled:
+        kept = sorted((t for t in own if t in rank), key=rank.get)[: how.max_items]
+        for size in range(1, len(kept) + 1):
+            for body in itertools.combinations(sorted(kept), size):
+                counts[body, None] += 1
+                counts[body, v] += 1
+    need = how.min_support * n
+    rules = {(b, v): (c / counts[b, None], c) for (b, v), c in counts.items() if v and c >= need and c / counts[b, None] >= how.min_confidence}
+    subsets = lambda b: (s for k in range(1, len(b)) for s in itertools.combinations(b, k))
+    return {(b, v): x for (b, v), x in rules.items() if all(rules.get((s, v), (0,))[0] < x[0] for s in subsets(b))}
+
+
 def test_url_filter(spark):
-    given_urls = ["http://a.example.org/es/1", "https://EXAMPLE.org/en/12?x#y", "http://b.org", "http://x.com/fr/2", "http://x.com/de/2", "nothing", None, "http://y.net/de/3", "http://y.net/fr/9", "ftp://z.com?x=://q"]
+    given_urls = ["http://a.example.org/es/1", "https://EXAMPLE.org/en/12?x#y", "http://b.org/", "http://x.com/fr/2", "http://x.com/de/2", "nothing", None, "http://y.net/de/3", "http://y.net/fr/9", "ftp://z.com?x=://q", "http://c.org", "http://x.net/" + "a/" * 20_000]
     rows = [(i, u) for i, u in enumerate(given_urls)] + [(100 + i, f"http://h{i}.com/de/{i}") for i in range(40)] + [(200 + i, f"http://h{i}.com/fr/{i}") for i in range(40)]
-    out = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))).collect()}
-    assert [out[i].rule for i in range(5)] == ["example.org/es/", "example.org/en/1", "org/", "com/fr/", "com/de/"] or out[2].rule is None
+    rows += rows[:3]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))).collect()
+    assert len(got) == len(rows)
+    out = {r.page_id: r for r in got}
+    assert [out[i].rule for i in range(5)] == ["example.org/es/", "example.org/en/1", "org/", "com/fr/", "com/de/"]
+    assert out[10].rule is None  # an empty path begins with no `/`
     assert out[1].host == "example.org" and out[1].path == "/en/12" and out[1].verdict == "block"
     assert (out[5].host, out[5].path, out[6].host) == ("", "", "") and out[9].host == "z.com" and out[9].path == ""
     assert out[7].verdict == "block" and out[7].rule is None and "d:de" in out[7].mined and out[8].verdict == "allow"
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_filter_against_brute_force(spark, sf):
+    """Host, path, tokens, given rules, mined rules and verdicts of every page by plain Python."""
+    how = urls.Mining()
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    pages = pages.union(spark.createDataFrame([(-i, u) for i, u in enumerate([None, "x", "http://", "HTTP://A.B.Example.ORG:80/en/1_2-x/%20?a=1&&B=2&a#f?z", "s://é.Ü.com//fr//12a3", "a://b://c/d"], 1)], "page_id long, url string"))
+    rows = {r.page_id: r.url for r in pages.collect()}
+    own = {i: brute_tokens(u) for i, u in rows.items()}
+    got = {r.page_id: r.tokens for r in urls.tokenized(pages).collect()}
+    assert {i: set(t) for i, t in got.items()} == own and all(t == sorted(set(t), key=lambda x: x.encode()) for t in got.values())
+    at = {i: brute_host_path(u) for i, u in rows.items()}
+    given = {i: brute_given(*at[i]) for i in rows}
+    rules = brute_rules([(own[i], given[i][1]) for i in rows if given[i][1]], how)
+    mined = urls.mine(urls.tokenized(pages).withColumn("verdict", urls.given_rule(F.col("host"), F.col("path"))[1]).where("verdict IS NOT NULL").select("tokens", "verdict"), how)
+    assert {(r.tokens, r.verdict): (r.confidence, r.support) for r in mined} == rules
+    best = lambda i: min(((-c, -len(b), -n, b, v) for (b, v), (c, n) in rules.items() if set(b) <= own[i]), default=(how.default,))[-1]
+    out = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(pages).collect()}
+    assert out == {i: (*at[i], given[i][0], given[i][1] or best(i)) for i in rows}
+
+
+def test_url_mining_bears_shared_keys(spark):
+    """200 urls that share 30 query keys, and 200 that lack one of 30 each."""
+    import time
+
+    shared = "&".join(f"k{i}=1" for i in range(30))
+    rows = [(i, f"http://a{i}.{['org', 'com'][i % 2]}/{['es', 'de'][i % 2]}/{i}?{shared}") for i in range(200)]
+    rows += [(200 + i, f"http://b{i}.{['org', 'com'][i % 2]}/{['es', 'de'][i % 2]}/{i}?" + "&".join(f"m{j}=1" for j in range(30) if j != i % 30)) for i in range(200)]
+    began = time.time()
+    out = urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(out) == 400 and time.time() - began < 60
+
+
 def test_url_index_agrees_with_all_rules():
     rng = np.random.default_rng(1)
     rules = [urls.Rule(tuple(sorted(set(rng.choice(list("abcdef"), rng.integers(1, 4))))), str(rng.choice(["allow", "block"])), float(rng.random()), int(rng.integers(1, 9))) for _ in range(60)]
