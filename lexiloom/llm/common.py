@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one step inside a Python worker handles at once.
 CHUNK_BYTES = 3 << 19
@@ -39,6 +40,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_by_key(rows: DataFrame, table: DataFrame, key: str, columns: list[str], weight: str, small: bool, kind: str, hot_share: float = 0.002) -> DataFrame:
+    """rows joined with a written table of one row per key, which tells in `weight` how many rows have it.
+
+    A small table is broadcast whole. Of a larger one only the keys with over hot_share of all weight are, of which
+    there are at most 1 / hot_share; the others are joined by shuffle, where no key has a large part. `columns` may
+    not be null in the table.
+    """
+    own = table.select(key, *columns)
+    if small:
+        return rows.join(F.broadcast(own), key, kind)
+    whole = table.agg(F.sum(weight)).first()[0] or 0
+    hot = own.join(F.broadcast(table.where(F.col(weight) > hot_share * whole).select(key)), key, "left_semi")
+    names = F.broadcast(hot.select(key))
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(names, key, "left_anti").join(own, key, kind))
+
+
 def byte_list(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """UTF-8 bytes of a string column."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, written
+from .common import arrow_map, join_by_key, written
 from .dom import DROP, LANDMARK, PROSE_TAG, Page, parents, parse
 from .wrapper import CONTENT, OUTSIDE, PATH, Judge, Matcher, Tree, constant, tree, verdicts
 
@@ -165,13 +165,8 @@ def pivots(blocks: DataFrame, how: Wrapper) -> DataFrame:
 
 def by_host(rows: DataFrame, table: DataFrame, columns: list[str], how: Wrapper, kind: str) -> DataFrame:
     """rows joined with a written table of one row per host; the way depends on that table's bytes, never the result."""
-    known = table.agg(F.sum("bytes"), F.sum("pages")).first()
-    own = table.select("host", *columns)
-    if (known[0] or 0) <= how.max_broadcast_bytes:
-        return rows.join(F.broadcast(own), "host", kind)
-    hot = table.where(F.col("pages") > how.hot_share * known[1]).select("host", *columns)
-    names = F.broadcast(hot.select("host"))
-    return rows.join(F.broadcast(hot), "host").unionByName(rows.join(names, "host", "left_anti").join(own, "host", kind))
+    small = (table.agg(F.sum("bytes")).first()[0] or 0) <= how.max_broadcast_bytes
+    return join_by_key(rows, table, "host", columns, "pages", small, kind, how.hot_share)
 
 
 SLOT_SUMS = ("own", "link", "same", "pairs")

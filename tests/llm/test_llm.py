@@ -483,6 +483,69 @@ def test_quality_rejects_outliers(spark):
     assert again.set_index("doc_id").kept.to_dict() == out.set_index("doc_id").kept.to_dict()
 
 
+def brute_mcd(x, rules, tries=8):
+    """Center, covariance and log-determinant of the best concentrated subset: the operator's starts and random ones, exact subsets."""
+    floor, n = quality.FLOOR, len(x)
+    rounded = np.round(x * rules.grid) / rules.grid
+    q1, median, q3 = np.quantile(rounded, [0.25, 0.5, 0.75], axis=0)
+    spread = np.maximum((q3 - q1) / 1.349, list(quality.FLOORS.values()))
+    z = (x - median) / spread
+    tri = lambda m: np.array(quality.triangle(m))
+    first = [(median, c) for c in quality.starts(median, spread, tri(np.tanh(z).T @ np.tanh(z)), tri((z / ((z**2).sum(1) + 1e-12)[:, None]).T @ z))]
+    rng = np.random.default_rng(0)
+    for _ in range(tries):
+        some = x[rng.choice(n, min(n, 20), replace=False)]
+        first.append((some.mean(0), np.cov(some.T, bias=True)))
+    best = []
+    for center, cov in first:
+        last = np.inf
+        while True:
+            d = x - center
+            d2 = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov + floor), d)
+            own = x[np.argsort(d2, kind="stable")[: max(1, int(round(rules.h * n)))]]
+            new_center, new_cov = own.mean(0), np.cov(own.T, bias=True)
+            logdet = np.linalg.slogdet(new_cov + floor)[1]
+            if logdet >= last - 1e-9:
+                break
+            center, cov, last = new_center, new_cov, logdet
+        best.append((last, center, cov))
+    return min(best, key=lambda b: b[0])
+
+
+def test_quality_verdicts_against_brute_force(spark):
+    """Determinants as small as those of exact subsets from more starts, and the same verdicts but for rows at the cutoff."""
+    rules = quality.Rules()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    stats = quality.measured(docs).cache()
+    rows = quality.judged(stats, *quality.fit(stats)).toPandas()
+    rows["lang"], rows["source"] = rows.lang.fillna("~"), rows.source.fillna("~")
+    good = rows[~rows.base_failed]
+    assert (good.n_words >= 50).all() and (~rows[rows.base_failed].kept).all()
+    n0, n1 = good.groupby(["lang", "source"]).doc_id.count(), good.groupby("lang").doc_id.count()
+    models, factor = {}, quality.consistency(rules.h)
+    agree = 0
+    for r in good.itertuples():
+        key = (r.lang, r.source) if n0[r.lang, r.source] >= rules.min_rows else (r.lang,) if n1[r.lang] >= rules.min_rows else ()
+        if key not in models:
+            own = good[(good.lang == key[0]) & (good.source == key[1])] if len(key) == 2 else good[good.lang == key[0]] if key else good
+            models[key] = brute_mcd(own[list(quality.NAMES)].to_numpy(), rules)
+        _, center, cov = models[key]
+        d = np.array([getattr(r, c) for c in quality.NAMES]) - center
+        d2 = d @ np.linalg.inv(cov * factor + quality.FLOOR) @ d
+        agree += (d2 <= rules.cutoff) == r.kept or abs(r.d2 / d2 - 1) < 0.1
+    print(f"verdicts agree for {agree} of {len(good)} rows, {len(models)} groups, {(~good.kept).sum()} rejected")
+    assert len(models) > 1 and agree >= 0.99 * len(good) and (~good.kept).any()
+
+
+def test_quality_consistency_factor():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200_000, 6))
+    d2 = (x**2).sum(1)
+    for h in (0.5, 0.75, 0.9):
+        near = x[d2 <= np.quantile(d2, h)]
+        assert abs(near.var() * quality.consistency(h) - 1) < 0.02
+
+
 def test_quality_edges(spark, edges, empty):
     for df in (edges, empty):
         stats = quality.measured(df)
