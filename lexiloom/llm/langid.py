@@ -6,12 +6,14 @@ through filters of several widths, a maximum over its positions and a softmax; a
 class is that of the mean of its windows' log-probabilities, weighted by their bytes.
 
 A filter of width k is a sum of k rows of tables (256 bytes by filters), so a window costs
-table lookups and no embedding. The fit reads at most `Fit.max_rows` texts, those of the
-smallest xxhash64(doc_id); prediction reads every byte.
-
-Defined results: a text that is null or has no letter is `und` with score 0; without rows
-to learn from every text is `und`; rows with a null language are not learnt from; repeated
-rows are predicted one by one; other columns are not looked at.
+table lookups and no embedding. The fit reads a bounded sample: `Fit.windows_each` windows of
+each of the `Fit.max_rows` ids with the smallest xxhash64(doc_id). Windows are cut on the executors;
+the driver gets these alone. Prediction reads every byte.
+
+Defined results: a text that is null or has no letter is `und` with score 0; a very long text
+is predicted from all its windows; without rows to learn from every text is `und`; rows with a null
+language are not learnt from; of rows of one id the fit reads one; repeated rows are predicted
+one by one; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -81,23 +83,23 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def fit(texts: list[bytes], labels: list[str], how: Fit = Fit()) -> Model | None:
+def sampled(text: bytes, doc_id: int, how: Fit) -> np.ndarray:
+    """Up to windows_each windows of a text, chosen by its id; half of them shortened, so that short texts are known."""
+    rng = np.random.default_rng([how.seed, doc_id & 0xFFFFFFFFFFFFFFFF])
+    own = windows_of(text, how.window, how.window - max(how.widths) + 1)
+    own = own[rng.permutation(len(own))[: how.windows_each]]
+    keep = np.where(rng.random(len(own)) < 0.5, rng.integers(16, how.window + 1, len(own)), how.window)
+    return np.where(np.arange(how.window) < keep[:, None], own, 0).astype(np.uint8)
+
+
+def fit(windows: np.ndarray, labels: list[str], how: Fit = Fit()) -> Model | None:
     """Adam on the cross-entropy of windows; the maximum passes the gradient to one position of each filter."""
     classes = sorted(set(labels))
     if not classes:
         return None
     rng = np.random.default_rng(how.seed)
     number = {c: i for i, c in enumerate(classes)}
-    step = how.window - max(how.widths) + 1
-    windows, target = [], []
-    for text, label in zip(texts, labels, strict=True):
-        own = windows_of(text, how.window, step)
-        # Short pieces too, so that short texts are known.
-        for w in own[rng.permutation(len(own))[: how.windows_each]]:
-            keep = int(rng.integers(16, how.window + 1)) if rng.random() < 0.5 else how.window
-            windows.append(np.where(np.arange(how.window) < keep, w, 0).astype(np.uint8))
-            target.append(number[label])
-    x, y = np.stack(windows), np.array(target)
+    x, y = windows, np.array([number[c] for c in labels])
     nf, nw, nc = how.filters, len(how.widths), len(classes)
     params = {f"t{k}": rng.normal(0, 0.3, (w, 256, nf)).astype(np.float32) for k, w in enumerate(how.widths)}
     params |= {"b": np.zeros(nf * nw, np.float32), "d": rng.normal(0, 0.2, (nf * nw, nc)).astype(np.float32), "c": np.zeros(nc, np.float32)}
@@ -171,17 +173,21 @@ def predict(texts: list[bytes | None], model: Model | None) -> tuple[list[str],
 def train(docs: DataFrame, how: Fit = Fit()) -> Model | None:
     """Fits on docs(doc_id, text, lang), which holds only rows that may be learnt from."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where("text IS NOT NULL AND lang IS NOT NULL AND doc_id IS NOT NULL")
-    # The ids first: only the sample's texts are then moved.
-    ids = rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_rows).collect()
+    ids = rows.select("doc_id").groupBy("doc_id").agg(F.lit(1)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_rows).collect()
     if not ids:
         return None
-    wanted = docs.sparkSession.createDataFrame([(i,) for i in sorted({r.doc_id for r in ids})], "doc_id long")
-    # Of a very long text the fit needs its windows only; repeated ids give one row each here.
-    got = rows.join(F.broadcast(wanted), "doc_id", "left_semi").toArrow()
-    order = np.argsort(mix64(got.column("doc_id").to_numpy().astype(np.uint64)), kind="stable")[: how.max_rows]
-    texts, langs = byte_list(got.column("text")), got.column("lang").to_pylist()
-    usable = [i for i in order if has_letter(texts[i])]
-    return fit([texts[i] for i in usable], [langs[i] for i in usable], how)
+    wanted = docs.sparkSession.createDataFrame([(r.doc_id,) for r in ids], "doc_id long")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts, keys = byte_list(batch.column("text")), batch.column("doc_id").to_pylist()
+        own = [sampled(t, k, how).tobytes() if has_letter(t) else None for t, k in zip(texts, keys, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(own, pa.binary())], names=["doc_id", "lang", "windows"])
+
+    cut = arrow_map(rows.join(F.broadcast(wanted), "doc_id", "left_semi"), step, "doc_id long, lang string, windows binary", "text").where("windows IS NOT NULL")
+    got = cut.groupBy("doc_id").agg(F.min(F.struct("lang", "windows")).alias("r")).select("doc_id", "r.*").collect()  # max_rows x windows_each x window bytes at most
+    got.sort(key=lambda r: int(mix64(np.array([r.doc_id]).astype(np.uint64))[0]))
+    windows = [np.frombuffer(r.windows, np.uint8).reshape(-1, how.window) for r in got]
+    return fit(np.concatenate(windows) if windows else np.zeros((0, how.window), np.uint8), [r.lang for r, w in zip(got, windows, strict=True) for _ in w], how)
 
 
 def predicted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -4,10 +4,16 @@ A text's features are its distinct words, word pairs and pairs with one word bet
 into 2^bits coordinates. FTRL-proximal keeps a rate per coordinate and an L1 term, which
 leaves few weights other than 0; only those are broadcast (at most 2^bits of 8 bytes).
 
-The fit reads at most `Fit.max_rows` labelled rows, those of the smallest xxhash64(doc_id);
-scoring reads every whole text. Defined results: a null, empty or wordless text is scored by
-the bias alone; without labelled rows the score is 0; repeated rows are scored one by one;
-other columns, also ones named like an output, are not looked at.
+The fit reads a bounded sample: of the `Fit.max_rows` labelled ids with the smallest
+xxhash64(doc_id), in that order, those whose features stay within `Fit.max_features` together.
+Features are made on the executors; the driver gets numbers of coordinates, never texts.
+Scoring reads every whole text.
+
+Defined results: a null, empty or wordless text is scored by the bias alone; a very long text is
+scored whole (one whose features alone pass the bound is not learnt from); without labelled rows
+the score is 0; of rows of one id the fit reads one, and the highest label; repeated rows are
+scored one by one; an empty table gives no rows; other columns, also ones named like an output,
+are not looked at.
 """
 
 from __future__ import annotations
@@ -19,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, alnum_words, arrow_map, byte_list, give_back_memory, mix64
+from .common import WordHashes, alnum_words, arrow_map, byte_list, give_back_memory, mix64, written
 
 
 @dataclass(frozen=True)
 class Fit:
     bits: int = 20
-    #: The bounded sample: labelled rows that the fit reads at most.
+    #: The bounded sample: labelled ids that the fit reads at most, and their distinct coordinates together (4 bytes each).
     max_rows: int = 16_000
+    max_features: int = 16_000_000
     epochs: int = 2
     alpha: float = 1.0
     beta: float = 1.0
@@ -60,18 +67,19 @@ def features(texts: list[bytes | None], hashes: WordHashes, bits: int) -> tuple[
     return np.concatenate(owners), np.concatenate(parts).astype(np.int32)
 
 
-def fit(texts: list[bytes | None], labels: np.ndarray, how: Fit = Fit()) -> Model:
-    """FTRL-proximal, one document after the other in the order given; every fifth calibrates the score."""
+def distinct(texts: list[bytes | None], hashes: WordHashes, bits: int) -> list[np.ndarray]:
+    """Distinct coordinates of each text, ascending."""
+    owner, coord = features(texts, hashes, bits)
+    key = np.unique(owner.astype(np.int64) << 32 | coord)
+    ends = np.searchsorted(key, np.arange(1, len(texts)) << 32)
+    return np.split((key & 0xFFFFFFFF).astype(np.int32), ends)
+
+
+def fit(own: list[np.ndarray], labels: np.ndarray, how: Fit = Fit()) -> Model:
+    """FTRL-proximal on the coordinates of each text, one after the other in the order given; every fifth calibrates the score."""
     if not len(labels):
         return Model(how.bits, -30.0, np.zeros(0, np.int32), np.zeros(0, np.float32))
-    hashes, size = WordHashes(), 1 << how.bits
-    own: list[np.ndarray] = []  # distinct coordinates of each document
-    for at in range(0, len(texts), 256):
-        part = texts[at : at + 256]
-        o, c = features(part, hashes, how.bits)
-        key = np.unique(o.astype(np.int64) << 32 | c)
-        ends = np.searchsorted(key, np.arange(1, len(part)) << 32)
-        own += np.split((key & 0xFFFFFFFF).astype(np.int32), ends)
+    size = 1 << how.bits
     z, n = np.zeros(size), np.zeros(size)
     share = float(np.clip(labels.mean(), 1e-3, 1 - 1e-3))
     bias, bias_n = float(np.log(share / (1 - share))), 0.0
@@ -122,10 +130,7 @@ def score(texts: list[bytes | None], model: Model, dense: np.ndarray, hashes: Wo
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), label: str = "toxic") -> Model:
-    """Fits on the labelled documents; `labels` holds only rows that may be learnt from.
-
-    The sample is bounded by how.max_rows, so its ids are broadcast and its texts collected.
-    """
+    """Fits on the labelled documents; `labels` holds only rows that may be learnt from."""
     spark = docs.sparkSession
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IS NOT NULL")
     sample = rows.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.max_rows).collect()
@@ -133,14 +138,33 @@ def train(docs: DataFrame, labels: DataFrame, how: Fit = Fit(), label: str = "to
         return fit([], np.zeros(0), how)
     y_of = {r.doc_id: r.y for r in sample}
     ids = spark.createDataFrame([(r.doc_id,) for r in sample], "doc_id long")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).join(F.broadcast(ids), "doc_id", "left_semi").toArrow()
-    got = texts.column("doc_id").to_numpy()
-    order = np.lexsort((np.arange(len(got)), mix64(got.astype(np.uint64))))
-    data = byte_list(texts.column("text"))
-    del texts
-    y = np.array([y_of[got[i]] for i in order], np.float64)
-    model = fit([data[i] for i in order], y, how)
-    del data
+    cache: list[WordHashes] = []
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not cache:
+            cache.append(WordHashes())
+        own = distinct(byte_list(batch.column("text")), cache[0], how.bits)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], names=["doc_id", "n", "own"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    made = written(arrow_map(texts, step, "doc_id long, n long, own binary", "text"), "features")
+    one = made.groupBy("doc_id").agg(F.min(F.struct("n", F.xxhash64("own").alias("h"))).alias("f")).select("doc_id", "f.n", "f.h")
+    size_of = {r.doc_id: (r.n, r.h) for r in one.collect()}  # max_rows at most
+    chosen, room = {}, how.max_features
+    for r in sample:
+        if r.doc_id in size_of and size_of[r.doc_id][0] <= room:
+            room -= size_of[r.doc_id][0]
+            chosen[r.doc_id] = size_of[r.doc_id][1]
+    if not chosen:
+        return fit([], np.zeros(0), how)
+    wanted = spark.createDataFrame(list(chosen.items()), "doc_id long, h long")
+    got = made.withColumn("h", F.xxhash64("own")).join(F.broadcast(wanted), ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "own").toArrow()
+    at = {d: i for i, d in enumerate(got.column("doc_id").to_pylist())}
+    order = sorted(chosen, key=lambda d: int(mix64(np.array([d]).astype(np.uint64))[0]))
+    blob = got.column("own")
+    own = [np.frombuffer(blob[at[d]].as_buffer(), np.int32) for d in order]
+    model = fit(own, np.array([y_of[d] for d in order], np.float64), how)
+    del own, blob, got
     give_back_memory()
     return model
 

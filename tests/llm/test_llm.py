@@ -76,6 +76,40 @@ def test_toxicity_learns_and_bounds_scores(spark):
     assert len(model.index) < 4000
 
 
+def test_toxicity_fit_against_brute_force():
+    """FTRL-proximal with dictionaries, one coordinate at a time."""
+    rng = np.random.default_rng(8)
+    how = toxicity.Fit(bits=8, l1=0.3, epochs=3)
+    own = [np.unique(rng.integers(0, 256, rng.integers(1, 30))).astype(np.int32) for _ in range(40)]  # too few held-out rows to calibrate
+    y = (rng.random(40) < 0.3).astype(float)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    share = min(max(y.mean(), 1e-3), 1 - 1e-3)
+    bias, bias_n = np.log(share / (1 - share)), 0.0
+    w_of = lambda i: 0.0 if abs(z[i]) <= how.l1 else -(z[i] - np.sign(z[i]) * how.l1) / ((how.beta + n[i] ** 0.5) / how.alpha + how.l2)
+    for _ in range(how.epochs):
+        for d in range(40):
+            if d % 5 == 4:
+                continue
+            w = {i: w_of(i) for i in own[d].tolist()}
+            g = 1 / (1 + np.exp(-(bias + sum(w.values())))) - y[d]
+            for i, wi in w.items():
+                z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / how.alpha * wi
+                n[i] += g * g
+            bias_n += g * g
+            bias -= 0.05 * g / (1 + bias_n**0.5)
+    model = toxicity.fit(own, y, how)
+    want = {i: w_of(i) for i in z if w_of(i)}
+    assert set(model.index.tolist()) == set(want) and abs(model.bias - bias) < 1e-9
+    assert all(abs(want[i] - w) < 1e-6 for i, w in zip(model.index.tolist(), model.weight.tolist(), strict=True))
+
+
+def test_toxicity_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(i, f"w{i} common words " + " ".join(f"x{i}_{j}" for j in range(20))) for i in range(60)] + [(3, "again")] + [(70, " ".join(f"y{j}" for j in range(2000)))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(71)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, toxicity.Fit(max_features=500))
+    assert isinstance(model, toxicity.Model) and toxicity.train(docs, labels, toxicity.Fit(max_features=0)).bias == -30.0
+
+
 def test_toxicity_edges(spark, edges, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(edges, none)
@@ -431,13 +465,42 @@ def test_language_held_out_accuracy(spark, sf):
 
 
 def test_language_edges(spark, edges, empty):
-    model = langid.fit([b"hello there", "él ñandú".encode()] * 5, ["en", "es"] * 5)
+    model = langid.fit(np.concatenate([langid.sampled(x, i, langid.Fit()) for i, x in enumerate([b"hello there", "él ñandú".encode()] * 5)]), ["en", "es"] * 5)
     out = langid.predicted(edges, model).collect()
     assert all((r.lang_pred == "und") == (not re.search(r"[^\W\d_]", r.text or "")) for r in out)
     assert {r.lang_pred for r in langid.predicted(edges, None).collect()} == {"und"}
     assert langid.predicted(empty, model).count() == 0 and langid.train(empty) is None
 
 
+def test_language_forward_pass_against_brute_force():
+    """Filters, maxima, softmax and the mean over windows by plain loops."""
+    rng = np.random.default_rng(2)
+    how = langid.Fit(window=16, filters=3, widths=(2, 3))
+    nf, classes = 6, ["a", "b"]
+    tables = [[rng.normal(size=(256, 3)).astype(np.float32) for _ in range(w)] for w in how.widths]
+    model = langid.Model(classes, 16, tables, rng.normal(size=nf).astype(np.float32), rng.normal(size=(nf, 2)).astype(np.float32), rng.normal(size=2).astype(np.float32))
+    texts = [bytes(rng.integers(65, 91, n).astype(np.uint8)) for n in (1, 15, 16, 17, 40, 100)]
+    names, score = langid.predict(texts, model)
+    for text, name, p in zip(texts, names, score, strict=True):
+        total, covered = np.zeros(2), 0
+        for at in range(0, max(1, len(text) - 2), model.step):
+            own = text[at : at + 16]
+            x = own + bytes(16 - len(own))
+            hidden = [max(0.0, max(sum(t[k][x[i + k]][f] for k in range(len(t))) for i in range(16 - len(t) + 1)) + model.bias[3 * j + f]) for j, t in enumerate(tables) for f in range(3)]
+            z = np.array([sum(h * model.dense[i][c] for i, h in enumerate(hidden)) + model.dense_bias[c] for c in range(2)])
+            total += len(own) * (z - np.log(np.exp(z).sum()))
+            covered += len(own)
+        mean = total / covered
+        want = np.exp(mean) / np.exp(mean).sum()
+        assert name == classes[want.argmax()] and abs(p - want.max()) < 1e-3
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(i % 50, ("the words of a long text " if i % 2 else "des mots et des phrases ") * 300, ["fr", "en"][i % 2]) for i in range(200)] + [(60, "123", "en"), (61, None, "en")]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), langid.Fit(max_rows=40, epochs=1))
+    assert model.classes == ["en", "fr"]
+
+
 def test_windows_cover_every_position():
     for n in (0, 1, 15, 16, 17, 29, 100):
         text = bytes(i % 250 + 1 for i in range(n))
