@@ -6,22 +6,28 @@ is a bounded slice of documents; its text is the sequence of their words as numb
 separator after each document. The index of a shard is its Burrows-Wheeler transform in a
 wavelet tree, with suffix positions sampled; all phrases are searched backward at once, their
 occurrences located by walking to the next sampled position, and overlapping or touching
-occurrences merged to removal spans. Every word of every document is in an index; words that
-no phrase holds share one number, since no search can ask for them.
-
-The phrases are dealt in blocks of bounded size; one block (the usual case) costs no shuffle
-at all. Over several blocks, each makes its spans by document row, and these are merged.
-
-Defined results: a null or empty text has no words and no hits; a null or empty item has no
-window; windows that several items share count for each; repeated items (one item_id on
-several rows) count once; repeated documents are searched one by one; an empty benchmark
-hits nothing; other columns are not looked at.
+occurrences merged to removal spans. Words that no phrase holds share one number in the index, and a
+run of them is one such word there, since no search can ask for them; positions are those of the
+whole text.
+
+The phrases are dealt in blocks of `block_words` item words, which bounds what is broadcast and what a
+worker holds (some 150 bytes a word). One block (the usual case) costs no shuffle at all. Over
+several, the texts are written once with a number for each row, each block gives the
+numbers of rows with hits and their spans, and these are merged and joined.
+
+Defined results: a null or empty text has no words and no hits; a very long text is a shard of
+its own, searched whole; a null or empty item has no window; words that a window of an item without
+an id occurs in are hit, but such an item has no id to name and is not counted; windows that several
+items share count for each; repeated items (one item_id on several rows) count once; repeated
+documents are searched one by one; an empty benchmark hits nothing; other columns are not looked
+at; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +44,8 @@ class Search:
     sample: int = 16
     #: Text bytes of a shard, about.
     shard_bytes: int = 3 << 20
-    #: Text bytes of the items of one block of phrases, which is broadcast.
-    block_bytes: int = 16 << 20
+    #: Words of the items of one block of phrases, which is broadcast.
+    block_words: int = 200_000
 
 
 # ---- suffix array, wavelet tree, FM-index
@@ -172,24 +178,31 @@ class Phrases:
     number: dict[bytes, int]  # word to number, from 3; 1 separates documents, 2 is any other word
     rows: np.ndarray  # phrases, padded on the left
     lengths: np.ndarray
-    items: list[np.ndarray]  # for each phrase, its items' indices
+    of: np.ndarray  # for each phrase, where its items begin in `items`
+    items: np.ndarray  # indices of items; -1 for one without an id
     item_ids: list[str]
 
 
-def phrases_of(items: list[tuple[str, bytes]], window: int) -> Phrases:
+def phrases_of(items: list[tuple[str | None, bytes]], window: int) -> Phrases:
+    """Distinct phrases of the items, built in arrays."""
     number: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], set[int]] = {}
-    ids = sorted({i for i, _ in items})
+    ids = sorted({i for i, _ in items if i is not None})
     index = {x: i for i, x in enumerate(ids)}
+    rows, owners = [], []
     for item, text in items:
-        own = tuple(number.setdefault(w, len(number) + 3) for w in alnum_words(text))
-        if own:
-            for at in range(max(1, len(own) - window + 1)):
-                found.setdefault(own[at : at + window], set()).add(index[item])
-    rows = np.zeros((len(found), window), np.int64)
-    for i, p in enumerate(found):
-        rows[i, window - len(p) :] = p
-    return Phrases(number, rows, np.array([len(p) for p in found], np.int64), [np.array(sorted(s)) for s in found.values()], ids)
+        own = np.array([number.setdefault(w, len(number) + 3) for w in alnum_words(text)], np.int32)
+        if not len(own):
+            continue
+        padded = np.concatenate([np.zeros(max(0, window - len(own)), np.int32), own])
+        rows.append(np.lib.stride_tricks.sliding_window_view(padded, window))
+        owners.append(np.full(len(rows[-1]), index.get(item, -1), np.int32))
+    if not rows:
+        none = np.zeros(0, np.int32)
+        return Phrases({}, np.zeros((0, window), np.int32), none, np.zeros(1, np.int64), none, ids)
+    found, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+    pairs = np.unique(np.stack([which.ravel(), np.concatenate(owners)]), axis=1)
+    of = np.searchsorted(pairs[0], np.arange(len(found) + 1))
+    return Phrases(number, found, (found != 0).sum(1).astype(np.int32), of, pairs[1].astype(np.int32), ids)
 
 
 def occurrences(texts: list[bytes | None], phrases: Phrases, how: Search) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -252,38 +265,46 @@ def _searched(docs: DataFrame, items: list[tuple[str, bytes]], how: Search, text
             spans[d].append([a, b])
         hit: list[set] = [set() for _ in sizes]
         for d, w in zip(doc.tolist(), which.tolist(), strict=True):
-            hit[d].update(phrases.items[w].tolist())
-        names = [sorted(phrases.item_ids[i] for i in h) for h in hit]
+            hit[d].update(phrases.items[phrases.of[w] : phrases.of[w + 1]].tolist())
+        names = [sorted(phrases.item_ids[i] for i in h if i >= 0) for h in hit]
         new = [pa.array(sizes), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(names, pa.list_(pa.string()))]
         return pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *(f.name for f in RESULT)])
 
     return arrow_map(docs, step, T.StructType([*docs.schema.fields, *RESULT]), text, how.shard_bytes)
 
 
-def item_blocks(benchmark: DataFrame, how: Search) -> Iterator[list[tuple[str, bytes]]]:
+def item_blocks(benchmark: DataFrame, how: Search) -> Iterator[list[tuple[str | None, bytes]]]:
     """The benchmark's items in blocks of bounded size; a table of any size passes the driver block by block."""
     block, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("i IS NOT NULL AND t IS NOT NULL")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").alias("t")).where("t IS NOT NULL")
     for r in rows.toLocalIterator():
         data = r.t.encode("utf-8", "surrogatepass")
-        if block and size + len(data) > how.block_bytes:
+        n = len(alnum_words(data))
+        if block and size + n > how.block_words:
             yield block
             block, size = [], 0
         block.append((r.i, data))
-        size += len(data)
+        size += n
     yield block
 
 
 def find(docs: DataFrame, benchmark: DataFrame, how: Search = Search(), text: str = "text") -> DataFrame:
     """docs with n_words, spans and items; all other columns stay (columns of these names are replaced)."""
-    docs = docs.drop(*(f.name for f in RESULT))
+    docs = docs.drop(*(f.name for f in RESULT), "_row")
     blocks = item_blocks(benchmark, how)
-    out = _searched(docs, next(blocks), how, text)
-    for block in blocks:  # a phrase may lie in one block only, an item never in two
-        more = _searched(written(out.withColumnsRenamed({"spans": "_spans", "items": "_items"}).drop("n_words"), "hits"), block, how, text)
-        merged = F.aggregate(F.array_sort(F.concat("_spans", "spans")), F.lit([]).cast("array<array<bigint>>"), _join_span)
-        out = more.withColumn("spans", merged).withColumn("items", F.array_sort(F.array_distinct(F.concat("_items", "items")))).drop("_spans", "_items")
-    return out
+    first = next(blocks)
+    if (second := next(blocks, None)) is None:
+        return _searched(docs, first, how, text)
+    docs = written(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    hits = None
+    for block in chain((first, second), blocks):  # a phrase may lie in several blocks, a row of an item never
+        found = written(_searched(docs.select("_row", text), block, how, text).where(F.size("spans") > 0).select("_row", "spans", "items"), "hits")
+        hits = found if hits is None else hits.unionByName(found)
+    merged = hits.groupBy("_row").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    joined = F.aggregate(F.array_sort("spans"), F.lit([]).cast("array<array<bigint>>"), _join_span)
+    counted = _searched(docs, [], how, text).drop("spans", "items").join(merged.withColumn("spans", joined), "_row", "left").drop("_row")
+    nothing = lambda c, kind: F.coalesce(F.col(c), F.array().cast(kind))
+    return counted.withColumn("spans", nothing("spans", "array<array<bigint>>")).withColumn("items", nothing("items", "array<string>"))
 
 
 def _join_span(done, span):

@@ -644,7 +644,7 @@ def brute_hits(docs, items, window=10):
     for i, t in items:
         w = find.findall(ascii_lower(t))
         for a in range(max(1, len(w) - window + 1)) if w else ():
-            windows[tuple(w[a : a + window])].add(str(i))
+            windows[tuple(w[a : a + window])].update([] if i is None else [str(i)])
     out = {}
     for d, t in docs:
         w, hit, names = find.findall(ascii_lower(t)), set(), set()
@@ -657,10 +657,10 @@ def brute_hits(docs, items, window=10):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [16 << 20, 40])
-def test_decontamination(spark, block_bytes):
+@pytest.mark.parametrize("block_words", [200_000, 20])
+def test_decontamination(spark, block_words):
     rng = np.random.default_rng(4)
-    items = [(i, " ".join(f"q{rng.integers(0, 30)}" for _ in range(n))) for i, n in enumerate([25, 12, 10, 3, 1])] + [(7, None), (8, ""), (3, "q1 Q2")]
+    items = [(i, " ".join(f"q{rng.integers(0, 30)}" for _ in range(n))) for i, n in enumerate([25, 12, 10, 3, 1])] + [(7, None), (8, ""), (3, "q1 Q2"), (None, "q3 q4 q5"), (9, "q3 q4 q5")]
     docs = []
     for d in range(60):
         w = [f"q{rng.integers(0, 30)}" if rng.random() < 0.5 else f"z{rng.integers(0, 99)}" for _ in range(rng.integers(0, 80))]
@@ -670,7 +670,7 @@ def test_decontamination(spark, block_bytes):
     docs += [(100, None), (101, "")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    out = decontam.report(decontam.find(df, bench, decontam.Search(block_bytes=block_bytes))).collect()
+    out = decontam.report(decontam.find(df, bench, decontam.Search(block_words=block_words))).collect()
     assert {r.doc_id: tuple(r)[1:] for r in out} == brute_hits(docs, items)
 
 
@@ -678,6 +678,9 @@ def test_decontamination_edges(spark, edges, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not decontam.report(decontam.find(edges, none)).where("contaminated").count()
     assert decontam.find(empty, none).count() == 0
+    long = "w " * 200_000 + "one two three"
+    out = decontam.report(decontam.find(spark.createDataFrame([(1, long), (2, "two")], "doc_id long, text string"), spark.createDataFrame([(None, "one two three")], "item_id long, text string"))).collect()
+    assert [(r.n_words, r.n_hit, r.n_items, r.contaminated) for r in sorted(out)] == [(200_003, 3, 0, True), (1, 0, 0, False)]
     assert decontam.removed(b"one two, three four five.", [[1, 3]]) == b"one  four five."
 
 
