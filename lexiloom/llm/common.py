@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 #: Text bytes that one step inside a Python worker handles at once.
 CHUNK_BYTES = 3 << 19
 _own_dirs: dict[str, str] = {}
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_open: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +41,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    for made in _open:
+        made.append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made and that no later read needs."""
+    for t in tables:
+        if path := _paths.pop(t, None):
+            _delete(t.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes at its end what `written` made inside, but for tables passed to the function it gives."""
+    made: list[str] = []
+    kept: list[str] = []
+    _open.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(_paths[df])
+        return df
+
+    try:
+        yield keep
+    finally:
+        _open.remove(made)
+        for path in made:
+            if path not in kept:
+                _delete(spark, path)
 
 
 def join_by_key(rows: DataFrame, table: DataFrame, key: str, columns: list[str], weight: str, small: bool, kind: str, hot_share: float = 0.002) -> DataFrame:

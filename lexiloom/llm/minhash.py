@@ -8,18 +8,22 @@ A text's set: distinct shingles of its words ([^\x20\x09-\x0D]+ after A-Z are lo
    about n (1 - exp(-4 k (1 - J) / n)) / 2 bits set, which tells a high J within 0.014.
 3. First round: each class is paired with the smallest of each bucket, which makes pairs in
    proportion to classes. Sketches sort out, whole sets confirm, links make components.
-4. Second round: only in buckets that still hold several components are the other pairs looked
-   at, by sketches inside blocks of bounded size, and only pairs of different components
-   that the sketches do not rule out are put out and confirmed. So a huge group of copies
-   costs one pair for each, and no link between different components is lost.
-5. Components by alternating large and small stars over the links.
+4. Second round: in large buckets that still hold several components, all rows outside the largest of
+   these are paired with its smallest class, in proportion to classes again.
+5. Third round: in buckets that still hold several components, the rows outside the largest one are held
+   against each other and against the largest one's, by sketches inside blocks of bounded size;
+   rows of the largest one are never held against each other. Only pairs of different components that
+   the sketches do not rule out are put out and confirmed. So a huge group of copies costs one pair
+   for each, a stray in it one more, and no link between different components is lost.
+6. Components by alternating large and small stars over the links.
 
 A pair at J = 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8; the sketch margin is
 five standard deviations.
 
 Defined results: a text without words, or null, has an empty set and is linked with nothing;
 rows of one document id count as one document; a row with a null id is linked with nothing;
-ties go to the smallest id; other columns are not looked at; an empty table gives no rows.
+ties go to the smallest id; very long texts give whole sets; other columns are not looked at; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, arrow_map, byte_list, mix64, written
+from .common import WordHashes, arrow_map, byte_list, discard, mix64, written
 
 
 @dataclass(frozen=True)
@@ -46,8 +50,9 @@ class Near:
     margin: float = 0.07
     #: Ids of candidate classes up to this number (8 bytes each) are broadcast; beyond it texts are joined by shuffle.
     max_broadcast: int = 2_000_000
-    #: Buckets are compared in blocks of so many classes.
+    #: Buckets are compared in blocks of so many classes; buckets of more than `large` get the second round.
     block: int = 256
+    large: int = 1024
 
 
 def shingles(texts: list[bytes | None], size: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -225,19 +230,33 @@ def confirmed(pairs: DataFrame, sets: DataFrame, how: Near) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "k_a", "k_b").mapInArrow(run, "a long, b long")
 
 
+def mixed_buckets(named: DataFrame) -> DataFrame:
+    """key, main (the largest component; ties to the smallest), pivot2 (its smallest class), m and rest (rows in all, outside main) of buckets that hold several components."""
+    parts = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("low"))
+    buckets = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.sum("k").alias("m"), F.max(F.struct("k", (-F.col("comp")).alias("c"), "low")).alias("top")).where("parts > 1")
+    return buckets.select("key", (-F.col("top.c")).alias("main"), F.col("top.low").alias("pivot2"), "m", (F.col("m") - F.col("top.k")).alias("rest"))
+
+
 def block_pairs(members: DataFrame, how: Near) -> DataFrame:
     """Pairs (a, b) of different components in one bucket that sizes and sketches do not rule out.
 
-    members: key, band, rep, comp, n, m (bucket size), bands, sketch. A bucket over how.block
-    rows is cut into blocks by a hash of rep, and each two of its blocks are one unit of
-    work. A pair is put out in the first of its common bands only.
+    members: key, band, rep, comp, n, bands, sketch and the bucket's main, m and rest. Rows outside the main
+    component are cut into blocks by a hash of rep, and so are its own rows. Units of work are two blocks of the
+    former (i <= j), or one of each (j below 0). A pair is put out in the first of its common bands only.
     """
     limit, percent = most_different(how), how.percent
-    cut = F.ceil(F.col("m") / how.block).cast("int")
-    rows = members.withColumn("own", F.pmod(F.xxhash64("rep"), cut).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), cut - 1)))
-    rows = rows.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    blocks = lambda n: F.greatest(F.ceil(n / how.block), F.lit(1)).cast("int")
+    rest, main = blocks(F.col("rest")), blocks(F.col("m") - F.col("rest"))
+    in_main = F.col("comp") == F.col("main")
+    own = F.pmod(F.xxhash64("rep"), F.when(in_main, main).otherwise(rest)).cast("int")
+    rows = members.withColumn("in_main", in_main).withColumn("own", own)
+    unit_of = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    mine = F.col("own")
+    with_rest = F.transform(F.sequence(F.lit(0), rest - 1), lambda x: F.when(F.col("in_main"), unit_of(x, -1 - mine)).otherwise(unit_of(F.least(x, mine), F.greatest(x, mine))))
+    with_main = F.when(~F.col("in_main"), F.transform(F.sequence(F.lit(0), main - 1), lambda x: unit_of(mine, -1 - x))).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    rows = rows.withColumn("u", F.explode(F.concat(with_rest, with_main))).withColumn("own", F.when(F.col("in_main"), -1 - mine).otherwise(mine))
     n = max(1, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.select("key", "i", "j", "own", "band", "rep", "comp", "n", "bands", "sketch").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    dealt = rows.select("key", "u.i", "u.j", "own", "band", "rep", "comp", "n", "bands", "sketch").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def unit(rows: list[tuple]) -> tuple[list[int], list[int]]:
         i, j, band = rows[0][1], rows[0][2], rows[0][4]
@@ -303,7 +322,8 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
         # Small star: smaller neighbours and the node itself go to the smallest.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = written(small, "edges")
+        before_last, edges = edges, written(small, "edges")
+        discard(before_last, large)
         now = seen(edges)
         if now == before:
             break
@@ -316,6 +336,13 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
 # ---- the whole
 
 
+def told_apart(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members with the component of each class, buckets that hold several)."""
+    comp = components(links)
+    named = members.drop("m", "pivot").join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    return named, written(mixed_buckets(named), "mixed")
+
+
 def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
     docs = docs.select("doc_id", "text")
@@ -329,14 +356,17 @@ def near_duplicates(docs: DataFrame, how: Near = Near()) -> DataFrame:
     ids = written(members.select("rep").distinct(), "candidates")
     sets = written(full_sets(docs, ids, ids.count(), how), "sets")
     star = members.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    first = written(confirmed(sketched(star, sets, how), sets, how), "links")
-    comp = components(first)
-    named = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    links = written(confirmed(sketched(star, sets, how), sets, how), "links")
+    named, mixed = told_apart(members, links)
+    large = mixed.where(F.col("m") > how.large)
+    if large.limit(1).count():
+        star = named.join(large, "key").where(F.col("comp") != F.col("main")).select(F.least("rep", "pivot2").alias("a"), F.greatest("rep", "pivot2").alias("b")).distinct()
+        links = written(links.unionByName(confirmed(sketched(star, sets, how), sets, how)), "links")
+        named, mixed = told_apart(members, links)
     extra = classes.select("rep", "bands").join(sets.select("rep", "sketch"), "rep")
-    open_ = named.join(mixed, "key").select("key", "band", "rep", "comp", "n", "m").join(extra, "rep")
+    open_ = named.select("key", "band", "rep", "comp", "n").join(mixed.drop("pivot2"), "key").join(extra, "rep")
     pairs = written(block_pairs(open_, how), "pairs")
-    second = written(first.unionByName(confirmed(pairs, sets, how)), "links")
+    second = written(links.unionByName(confirmed(pairs, sets, how)), "links")
     comp = written(components(second), "components")
     by_class = classes.select("one", "two", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("one", "two", F.coalesce("comp", "rep").alias("comp"))
     out = sig.select("doc_id", "n", F.when(F.col("n") > 0, F.col("one")).alias("one"), "two").join(by_class, ["one", "two"], "left")

@@ -170,17 +170,56 @@ def test_near_duplicates_match_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
-def test_near_duplicates_second_round_in_blocks(spark):
+@pytest.mark.parametrize("large", [2, 1024])
+def test_near_duplicates_later_rounds_in_blocks(spark, large):
     """A chain whose ends are no near-copies; tiny blocks make every unit of work cross."""
     words = [f"c{i}" for i in range(120)]
     docs = []
     for step in range(14):
         docs.append((step if step % 2 else 100 + step, " ".join(words)))
         words = words[2:] + [f"n{step}a", f"n{step}b"]
-    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), minhash.Near(block=3)).collect()
+    out = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), minhash.Near(block=3, large=large)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_components(docs)
 
 
+def link_pairs(docs, words, percent):
+    """All pairs at the threshold, by counting shared shingles."""
+    sets, holders, shared = {}, collections.defaultdict(list), collections.Counter()
+    for d, t in docs:
+        w = re.findall(r"[^\x20\x09-\x0D]+", ascii_lower(t))
+        sets[d] = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+        for x in sets[d]:
+            for e in holders[x]:
+                shared[e, d] += 1
+            holders[x].append(d)
+    return sets, {p: k / (len(sets[p[0]]) + len(sets[p[1]]) - k) for p, k in shared.items() if 100 * k >= percent * (len(sets[p[0]]) + len(sets[p[1]]) - k)}
+
+
+@pytest.mark.parametrize("words", [4, 5])
+def test_near_duplicates_of_the_tables(spark, words):
+    """Components of a whole table, and the recall of its links at 0.80 and 0.85."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = [tuple(r) for r in df.collect()]
+    sets, links = link_pairs(docs, words, 80)
+    up = {d: d for d in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        x, y = root(a), root(b)
+        up[max(x, y)] = min(x, y)
+    out = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, minhash.Near(words=words)).collect()}
+    for at in (0.80, 0.85):
+        own = [p for p, j in links.items() if j >= at]
+        print(f"{words} words, J >= {at}: recall {sum(out[a] == out[b] for a, b in own) / len(own):.4f} of {len(own)} links")
+    assert out == {d: root(d) for d in sets}
+
+
+
+
 def test_near_duplicates_edges(spark, edges, empty):
     out = minhash.near_duplicates(edges).collect()
     assert len(out) == len(EDGES) + 2
@@ -866,7 +905,7 @@ def test_pipeline_against_brute_force(spark, sf):
     two = P.written(P.toxicity_filter(spark, one, sf), "t")
     three = P.written(P.near_dedup(spark, two, sf), "t")
     left = [(r.doc_id, r.text) for r in two.collect()]
-    assert {r.doc_id for r in three.collect()} == {d for d, (_, c) in brute_components(left).items() if d == c}
+    assert {r.doc_id for r in three.collect()} == {d for d, (_, c) in brute_components(left, words=5).items() if d == c}
     four = P.written(P.decontamination(spark, three, sf), "t")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     hits = brute_hits([(r.doc_id, r.text) for r in three.collect()], items)
@@ -875,6 +914,17 @@ def test_pipeline_against_brute_force(spark, sf):
     assert {r.doc_id for r in five.select("doc_id").distinct().collect()} == {r.doc_id for r in four.collect()}
 
 
+def test_pipeline_leaves_only_its_result(spark, sf, tmp_path, monkeypatch):
+    import corpus_pipeline as P
+    from lexiloom.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    assert P.run(spark, sf).count() and len(list(tmp_path.iterdir())) == 1
+    empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+    for name, stage in P.STAGES:
+        assert stage(spark, empty, sf).count() == 0, name
+
+
 def test_pipeline_stages_bear_odd_columns(spark, edges, sf):
     import corpus_pipeline as P
 
