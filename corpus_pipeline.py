@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiloom.llm import decontam, minhash, packing, quality, toxicity
-from lexiloom.llm.common import table, written
+from lexiloom.llm.common import discard, scratch, table, written
 from lexiloom.llm.queries import toxicity_labels
 
 #: Documents of at least this score are rejected.
@@ -31,8 +31,8 @@ def shielded(docs: DataFrame) -> tuple[DataFrame, list]:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what passes the base rules and is no outlier of its language and source."""
     docs, back = shielded(docs)
-    measured = quality.measured(docs)
-    estimates, n_groups = quality.fit(written(measured.select("lang", "source", *(f.name for f in quality.FIELDS)), "quality"))
+    measured = written(quality.measured(docs), "quality")  # with the texts, so that each is measured once
+    estimates, n_groups = quality.fit(measured)
     return quality.judged(measured, estimates, n_groups).where("kept").select(*back)
 
 
@@ -44,8 +44,8 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, that of the smallest id."""
-    dropped = written(minhash.near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "dropped")
+    """Keeps one document of each group of near-duplicates, that of the smallest id; sets are of five words, J is 0.8 or more."""
+    dropped = written(minhash.near_duplicates(docs, minhash.Near(words=5)).where("NOT kept").select("doc_id").distinct(), "dropped")
     return docs.join(F.broadcast(dropped) if dropped.count() <= MAX_BROADCAST else dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
@@ -75,7 +75,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applies the stages; what a stage wrote on its way, and its input, go once its result stands."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as keep:
+            out = keep(written(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        discard(docs)
+        docs = out
     return docs
