@@ -57,3 +57,29 @@ COST_OTHER = (5.0, 1.0)
 
 # Sources that a raw-only corpus must not name.
 BANNED_SOURCES = ["documentation", "stackoverflow", "web_crawl", "github_code"]
+
+# Signs of a correction in preference pairs, and the types of corrections in order of precedence.
+PAIR_SIGNS = ["no that", "wrong", "let me", "actually", "i meant", "not quite", "revise", "rewrite", "change", "fix", "incorrect"]
+PAIR_TYPES = {
+    "syntax_error": ["syntax", "indentation", "bracket", "quote"],
+    "logic_error": ["logic", "wrong", "incorrect", "error"],
+    "incomplete": [],  # by length: the better answer has over one and a half times the characters
+    "unclear": ["unclear", "confuse", "not clear"],
+    "style": ["style", "cleaner", "better", "improve"],
+}
+
+# Model families with phrases that they use and the share of characters beyond ASCII.
+FAMILIES = {
+    "gpt-4o": (["I appreciate", "I'd be happy", "😊", "collaboratively"], 0.02, 0.1),
+    "gpt-4.5": (["I'll", "structured", "step-by-step", "efficiency"], 0.0, 0.02),
+    "gpt-5-class": (["Let me think", "reasoning", "deeper", "consider"], 0.0, 0.01),
+}
+
+# Signs that a user reports what running an artifact gave.
+FEEDBACK = ["Error:", "Output:", ">>>", "Traceback"]
+
+# Patterns of technical terms, each between word borders.
+TERMS = ["[A-Z]{2,}[a-z]?[A-Z]?[a-z]*", "[a-z_]+_[a-z_]*", "[A-Z]{2,}"]
+
+# Providers that are merged only on demand.
+FILLER_PROVIDERS = ["deepseek", "qwen"]

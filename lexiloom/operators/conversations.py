@@ -98,6 +98,23 @@ def conversation_metrics(clean: DataFrame, conversations: DataFrame | None = Non
     )
 
 
+def running_total(rows: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """rows with the sum of value over all rows up to each, by a numeric column without repeats.
+
+    Sums come from one total for each range of the order plus the running sum inside it, so no task holds all rows.
+    """
+    n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = sorted(set(rows.select(F.col(order).cast("double").alias("o")).approxQuantile("o", [i / n for i in range(1, n)], 0.01))) if n > 1 else []
+    dealt = rows.withColumn("_part", sum(((F.col(order).cast("double") > F.lit(b)).cast("int") for b in bounds), F.lit(0)))
+    sums = {r["_part"]: r["v"] for r in dealt.groupBy("_part").agg(F.sum(value).alias("v")).collect()}
+    before, at = {0: 0}, 0
+    for p in sorted(sums):
+        before[p], at = at, at + sums[p]
+    offset = F.element_at(F.create_map(*(F.lit(x) for kv in before.items() for x in kv)), F.col("_part"))
+    inside = F.sum(value).over(Window.partitionBy("_part").orderBy(order))
+    return dealt.withColumn(name, offset + inside).drop("_part")
+
+
 def with_period(conversations: DataFrame, order: list[str], parts: int = 5) -> DataFrame:
     """Adds period 1..parts: equal counts in order, the remainder in the last.
 

@@ -7,6 +7,8 @@ does not gather in one task.
 
 from __future__ import annotations
 
+from itertools import combinations, pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,26 +70,52 @@ def agreement(a, b):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda acc, x: acc + x) / F.size(a).cast("double")
 
 
+def star_pairs(members: DataFrame) -> DataFrame:
+    """Distinct (a, b): the smallest row of each bucket with every other; members: rep, key. In proportion to the members, whatever the size of a bucket."""
+    first = members.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "a")
+    return members.join(first, "key").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+
+
+def matched(members: DataFrame, judged) -> DataFrame:
+    """Pairs (a before b) that `judged` lets pass, so many that every row with an earlier match in a bucket has one.
+
+    First each bucket's smallest row is held against the others. Rows that match none of these are
+    then held against all earlier rows of their buckets, and only they: a group of near-copies so
+    costs one pair for each bucket of a row, not one for each two rows.
+    """
+    star = star_pairs(members)
+    good = judged(star)
+    open_ = star.select("b").distinct().join(good.select("b").distinct(), "b", "left_anti")
+    right = members.join(open_.withColumnRenamed("b", "rep"), "rep").withColumnRenamed("rep", "b")
+    more = members.withColumnRenamed("rep", "a").join(right, "key").where("a < b").select("a", "b").distinct()
+    return good.unionByName(judged(more.join(star, ["a", "b"], "left_anti")))
+
+
+def band_members(signatures: DataFrame, bands: int = 16, width: int = 8) -> DataFrame:
+    """rep and key: the buckets of each distinct signature, under its first position."""
+    once = signatures.groupBy("signature").agg(F.min("position").alias("rep"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.slice("signature", i * width + 1, width)))
+    return once.select("rep", F.explode(keys).alias("key"))
+
+
 def banded_pairs(signatures: DataFrame, bands: int = 16, width: int = 8) -> DataFrame:
-    """Distinct pairs (a < b) whose signatures share a band.
+    """Candidates (a < b): the first row of each bucket of a band with every other row of it.
 
-    Equal signatures are one row with its first position before pairs are made, so that a
-    group of copies adds no pairs; the copies are found by `near`.
+    Rows of equal signatures are one, under the first position. Any two rows of a bucket are linked by way of its first.
     """
-    once = signatures.groupBy("signature").agg(F.min("position").alias("position"))
-    keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(i.alias("band"), F.xxhash64(F.slice("signature", i * width + 1, width)).alias("h")))
-    rows = once.select("position", F.explode(keys).alias("k")).select("position", "k.band", "k.h")
-    left, right = rows.withColumnRenamed("position", "a"), rows.withColumnRenamed("position", "b")
-    return left.join(right, ["band", "h"]).where("a < b").select("a", "b").distinct()
+    return star_pairs(band_members(signatures, bands, width))
 
 
 def near(signatures: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """position, match (the earlier row that agrees best, ties to the smallest) and agreement; null without one."""
+    """position, match (of the earlier rows compared, see `matched`, that which agrees best, ties to the smallest) and agreement; null without one."""
     first = signatures.groupBy("signature").agg(F.min("position").alias("rep"))
     own = signatures.join(first, "signature")
     side = lambda c: own.where("position = rep").select(F.col("position").alias(c), F.col("signature").alias(f"s_{c}"))
-    pairs = banded_pairs(signatures).join(side("a"), "a").join(side("b"), "b").select("a", "b", agreement(F.col("s_a"), F.col("s_b")).alias("agreement")).where(F.col("agreement") >= threshold)
-    best = pairs.groupBy("b").agg(F.max(F.struct("agreement", (-F.col("a")).alias("na"))).alias("m")).select(F.col("b").alias("position"), (-F.col("m.na")).alias("match"), F.col("m.agreement").alias("agreement"))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", agreement(F.col("s_a"), F.col("s_b")).alias("agreement")).where(F.col("agreement") >= threshold)
+
+    best = matched(band_members(signatures), judged).groupBy("b").agg(F.max(F.struct("agreement", (-F.col("a")).alias("na"))).alias("m")).select(F.col("b").alias("position"), (-F.col("m.na")).alias("match"), F.col("m.agreement").alias("agreement"))
     copies = own.where("position <> rep").select("position", F.col("rep").alias("match"), F.lit(1.0).alias("agreement"))
     found = best.unionByName(copies)
     return signatures.select("position").join(found, "position", "left")
@@ -113,17 +141,23 @@ def simhashes(rows: DataFrame, text: str = "t", position: str = "doc_id", size:
 
 
 def near_by_simhash(hashes: DataFrame, distance: int = 3) -> DataFrame:
-    """position, match (nearest earlier row within the distance, ties to the smallest), distance.
+    """position, match (of the earlier rows compared, see `matched`, the nearest within the distance, ties to the smallest), distance.
 
-    Two hashes within 3 bits agree in one of four 16-bit blocks; equal hashes are one row first.
+    The 64 bits are cut into distance + 3 blocks; two hashes within the distance agree in three of them
+    at least, so buckets are all choices of three blocks: some 32 bits each, which hashes that are
+    not alike hardly share. Equal hashes are one row first.
     """
     first = hashes.groupBy("simhash").agg(F.min("position").alias("rep"))
-    blocks = F.array(*(F.struct(F.lit(i).alias("i"), F.shiftrightunsigned("simhash", 16 * i).bitwiseAND(0xFFFF).alias("v")) for i in range(4)))
-    rows = first.select("rep", "simhash", F.explode(blocks).alias("k")).select("rep", "simhash", "k.i", "k.v")
-    left = rows.select(F.col("rep").alias("a"), F.col("simhash").alias("x"), "i", "v")
-    right = rows.select(F.col("rep").alias("b"), F.col("simhash").alias("y"), "i", "v")
-    pairs = left.join(right, ["i", "v"]).where("a < b").withColumn("d", F.bit_count(F.col("x").bitwiseXOR(F.col("y")))).where(F.col("d") <= distance)
-    best = pairs.groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("b").alias("position"), F.col("m.a").alias("match"), F.col("m.d").alias("distance"))
+    edges = [64 * i // (distance + 3) for i in range(distance + 4)]
+    block = [F.shiftrightunsigned("simhash", a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in pairwise(edges)]
+    keys = F.array(*(F.xxhash64(F.lit(i), *(block[x] for x in chosen)) for i, chosen in enumerate(combinations(range(len(block)), 3))))
+    members = first.select("rep", F.explode(keys).alias("key"))
+    side = lambda c, v: first.select(F.col("rep").alias(c), F.col("simhash").alias(v))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", F.bit_count(F.col("x").bitwiseXOR(F.col("y"))).alias("d")).where(F.col("d") <= distance)
+
+    best = matched(members, judged).groupBy("b").agg(F.min(F.struct("d", "a")).alias("m")).select(F.col("b").alias("position"), F.col("m.a").alias("match"), F.col("m.d").alias("distance"))
     copies = hashes.join(first, "simhash").where("position <> rep").select("position", F.col("rep").alias("match"), F.lit(0).alias("distance"))
     return hashes.select("position").join(best.unionByName(copies), "position", "left")
 

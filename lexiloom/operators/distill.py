@@ -49,14 +49,36 @@ def tier() -> Column:
 def select_within_budget(passed: DataFrame, budget: int, tokens: str = "canonical_tokens", rank: str = "information_gain", tie: str = "conversation_id") -> DataFrame:
     """Greedy by rank: an item that would overflow is left out, later ones are still tried.
 
-    Where all fit, which one sum tells, nothing is ordered. Else narrow rows (key, tokens,
-    rank) are walked in rank order as one sorted stream, in batches: the choice of each
-    depends on all before it, so this cannot be split.
+    Where all fit, which one sum tells, nothing is ordered. Else rows are cut into parts by quantiles of the
+    rank. Parts that fit whole are taken by their sums. Of the parts behind, only rows that still fit the room
+    left can be taken at all: the first of them is walked in rank order, then the few rows of all others
+    that are no larger than what is left after it. The choice of each depends on all before it, so a walk is one stream.
     """
     total = passed.agg(F.sum(tokens)).first()[0] or 0
     if total <= budget:
         return passed.withColumn("selected", F.lit(True))
+    kind = passed.schema[tie].dataType.simpleString()
     narrow = passed.select(F.col(tie).alias("k"), F.col(tokens).cast("long").alias("t"), F.col(rank).alias("r"))
+    n = 4 * max(1, int(passed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bounds = sorted(set(narrow.approxQuantile("r", [i / n for i in range(1, n)], 0.25 / n)), reverse=True)
+    part = sum(((F.col("r") < F.lit(b)).cast("int") for b in bounds), F.lit(0))  # higher ranks first; rows without a rank last
+    narrow = narrow.withColumn("part", F.coalesce(part, F.lit(len(bounds))))
+    sums = {r["part"]: r["t"] for r in narrow.groupBy("part").agg(F.sum("t").alias("t")).collect()}
+    used, whole = 0, -1
+    for p in range(len(bounds) + 1):
+        if used + sums.get(p, 0) > budget:
+            break
+        used, whole = used + sums.get(p, 0), p
+    first, last = _walked(narrow.where(f"part = {whole + 1}"), budget - used, kind), narrow.where(f"part > {whole + 1}")
+    chosen = narrow.where(f"part <= {whole}").select("k").unionByName(first.select("k"))
+    left = budget - used - (first.agg(F.sum("t")).first()[0] or 0)
+    chosen = chosen.unionByName(_walked(last.where(F.col("t") <= left), left, kind).select("k"))
+    marked = chosen.withColumnRenamed("k", tie).withColumn("selected", F.lit(True))
+    return passed.join(marked, tie, "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+
+
+def _walked(narrow: DataFrame, room: int, kind: str) -> DataFrame:
+    """k and t of the rows that a greedy walk in rank order takes."""
 
     def walk(batches):
         import numpy as np
@@ -67,15 +89,12 @@ def select_within_budget(passed: DataFrame, budget: int, tokens: str = "canonica
             size = batch.column("t").to_numpy()
             take = np.zeros(len(size), bool)
             for i, t in enumerate(size.tolist()):
-                if used + t <= budget:
+                if used + t <= room:
                     used += t
                     take[i] = True
-            yield pa.RecordBatch.from_arrays([batch.column("k").filter(pa.array(take))], names=["k"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(take)) for c in ("k", "t")], names=["k", "t"])
 
-    kind = passed.schema[tie].dataType.simpleString()
-    chosen = narrow.repartition(1).sortWithinPartitions(F.desc("r"), "k").mapInArrow(walk, f"k {kind}")
-    marked = chosen.withColumnRenamed("k", tie).withColumn("selected", F.lit(True))
-    return passed.join(marked, tie, "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
+    return narrow.repartition(1).sortWithinPartitions(F.desc("r"), "k").mapInArrow(walk, f"k {kind}, t long")
 
 
 def distil(metrics: DataFrame, exact: int, policy: Policy = Policy()) -> DataFrame:

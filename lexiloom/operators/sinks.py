@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import preference
+
 
 def to_parquet(rows: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
     """zstd files, in folders by the columns given; gives the table read back."""
@@ -45,7 +47,5 @@ def sft_records(messages: DataFrame) -> DataFrame:
 
 
 def dpo_records(messages: DataFrame) -> DataFrame:
-    """prompt, rejected and chosen from question, answer, correction and better answer."""
-    order = Window.partitionBy("conversation_id").orderBy("position")
-    rows = messages.select("conversation_id", "position", "role", F.col("text").alias("prompt"), F.lead("text", 1).over(order).alias("rejected"), F.lead("text", 3).over(order).alias("chosen"), F.lead("role", 2).over(order).alias("r2"))
-    return rows.where("role = 'user' AND r2 = 'user' AND chosen IS NOT NULL").select("conversation_id", "position", "prompt", "rejected", "chosen")
+    """prompt, rejected, chosen, correction_type and confidence of the preference pairs."""
+    return preference.pairs(messages).select("conversation_id", "position", "prompt", "rejected", "chosen", "correction_type", "confidence")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import corpus, files, samples, streams, tables
+from . import corpus, described, files, samples, streams, tables
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "files", "flagship", "samples", "streams", "tables"]
+__all__ = ["ORACLES", "QUERIES", "described", "files", "flagship", "samples", "streams", "tables"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,12 +56,6 @@ def snk_07(spark, sf_dir):
     return m.select(F.explode(items).alias("i")).groupBy("i.frame", "i.label").agg(F.sum("i.x").alias("v"))
 
 
-@query("op_snk_08_training_export", f"{_MSGS}, w AS (SELECT conversation_id, position, role, text, lead(text, 1) OVER o AS rejected, lead(text, 3) OVER o AS chosen, lead(role, 2) OVER o AS r2 FROM msgs WINDOW o AS (PARTITION BY conversation_id ORDER BY position)) SELECT conversation_id, CAST(position AS BIGINT) AS position, sha256(text || rejected || chosen) AS sha FROM w WHERE role = 'user' AND r2 = 'user' AND chosen IS NOT NULL")
-def snk_08(spark, sf_dir):
-    rows = W.to_json_lines(W.dpo_records(clean(spark, sf_dir)), folder(spark))
-    return rows.select("conversation_id", F.col("position").cast("long").alias("position"), F.sha2(F.concat("prompt", "rejected", "chosen"), 256).alias("sha"))
-
-
 def _written_export(spark: SparkSession, sf_dir: str, provider: str, as_array: bool) -> str:
     """Export files of a provider in a new shared folder: JSON lines, or one array of all conversations."""
     base = folder(spark)
@@ -210,15 +204,15 @@ def mrg_03(spark, sf_dir):
     return spark.read.parquet(path).agg(F.count("*").alias("n")).withColumn("version", F.lit(int(path.rsplit("=", 1)[1])))
 
 
-@query("op_mrg_06_provider_guard", "SELECT * FROM (VALUES (' Claude ', 'claude'), ('', 'refused'), ('filler', 'refused')) AS t(given, result)")
-def mrg_06(spark, sf_dir):
-    def judged(name: str) -> str:
-        try:
-            return D.guard_provider(name)
-        except ValueError:
-            return "refused"
+_GIVEN = "['chatgpt', ' Claude ', 'DeepSeek', 'qwen', '', NULL][CAST(conv_id % 6 AS INT) + 1]"
 
-    return spark.createDataFrame([(n, judged(n)) for n in (" Claude ", "", "filler")], "given string, result string")
+
+@query("op_mrg_06_provider_guard", f"WITH g AS (SELECT DISTINCT conv_id, lower(trim({_GIVEN})) AS name, conv_id % 5 = 0 AS promote FROM conversations) SELECT conv_id, CASE WHEN coalesce(name, '') = '' OR (name IN ('deepseek', 'qwen') AND NOT promote) THEN 'refused' ELSE name END AS result FROM g")
+def mrg_06(spark, sf_dir):
+    """Filler providers are refused unless they are promoted; one name and flag for each conversation."""
+    rows = T.table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    given = F.get(F.array(*map(F.lit, ("chatgpt", " Claude ", "DeepSeek", "qwen", "", None))), (F.col("conv_id") % 6).cast("int"))
+    return rows.select("conv_id", F.coalesce(D.guarded(given, F.col("conv_id") % 5 == 0), F.lit("refused")).alias("result"))
 
 
 @query("op_mrg_10_ledgers", f"{_MSGS} SELECT provider, 'r1' AS run, CAST(sum(char_count) AS BIGINT) AS chars FROM msgs GROUP BY 1")

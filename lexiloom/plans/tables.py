@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import conversations as C
 from ..operators import dedup as U
 from ..operators import merge as M
 from ..operators import schema as S
@@ -313,7 +314,7 @@ def val_06(spark, sf_dir):
     return P.message_quality(P.samples(spark, sf_dir)).agg(F.count("*").alias("n"), (F.avg("quality") >= 0.5).alias("mean_ok"), (F.avg((F.col("quality") < 0.3).cast("int")) < 0.3).alias("low_ok"))
 
 
-@query("op_val_04_checksums")
+@query("op_val_04_checksums")  # DuckDB SQL has no path of its tables
 def val_04(spark, sf_dir):
     """Length and sha256 of the table files themselves."""
     return E.file_shards(spark, [f"{sf_dir}/nation.parquet", f"{sf_dir}/region.parquet"]).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256")
@@ -327,13 +328,6 @@ def val_07(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
-@query("op_val_08_contracts", f"{_CONV} SELECT 'QC-1' AS contract, count(*) > 0 AS passed FROM conv WHERE topic_primary <> 'general' UNION ALL SELECT 'QC-2', min(period) = 1 AND max(period) = 5 FROM conv UNION ALL SELECT 'QC-3', sum(correction_events) > 0 FROM conv UNION ALL SELECT 'QC-M1', count(DISTINCT provider) = 4 FROM conv")
-def val_08(spark, sf_dir):
-    row = metrics(spark, sf_dir).agg(F.count_if(F.col("topic_primary") != "general").alias("a"), F.min("period").alias("b"), F.max("period").alias("c"), F.sum("correction_events").alias("d"), F.count_distinct("provider").alias("e"))
-    checks = {"QC-1": F.col("a") > 0, "QC-2": (F.col("b") == 1) & (F.col("c") == 5), "QC-3": F.col("d") > 0, "QC-M1": F.col("e") == 4}
-    return row.select(F.explode(F.array(*(F.struct(F.lit(n).alias("contract"), c.alias("passed")) for n, c in checks.items()))).alias("x")).select("x.*")
-
-
 # ---- schemas
 
 _PROPS = "SELECT '$' AS path, 'object' AS types, count(*) AS n, CAST(1 AS DOUBLE) AS presence, false AS optional FROM events WHERE props IS NOT NULL UNION ALL SELECT '$.k', 'int', count(*), CAST(1 AS DOUBLE), false FROM events WHERE props IS NOT NULL"
@@ -441,12 +435,12 @@ def src_22(spark, sf_dir):
 
 @query("op_snk_09_june_chunk", f"{_MSGS}, b AS (SELECT conversation_id, turn, regexp_replace(text[1:2500], '\\n{{3,}}', chr(10) || chr(10), 'g') AS body FROM msgs WHERE strftime(to_timestamp(create_time) AT TIME ZONE 'UTC', '%m') = '06') SELECT conversation_id, turn, CAST(octet_length(encode(body)) AS BIGINT) AS bytes, sum(octet_length(encode(body))) OVER (ORDER BY conversation_id, turn) <= 100000 AS fits FROM b")
 def snk_09(spark, sf_dir):
-    """Bodies of one month and whether each still fits a byte budget in order; partial sums by conversation keep the running sum off one task's rows."""
+    """Bodies of one month and whether each still fits a byte budget in order; sums by conversation and by range of them keep the running sum off any one task."""
     rows = clean(spark, sf_dir).where(F.month(F.timestamp_seconds("create_time")) == 6)
     body = F.regexp_replace(F.substring("text", 1, 2500), "\n{3,}", "\n\n")
     sized = rows.select("conversation_id", "turn", F.octet_length(body).cast("long").alias("bytes"))
-    by = sized.groupBy("conversation_id").agg(F.sum("bytes").alias("all")).withColumn("k", F.lit(1))
-    before = by.select("conversation_id", (F.sum("all").over(Window.partitionBy("k").orderBy("conversation_id")) - F.col("all")).alias("before"))
+    by = sized.groupBy("conversation_id").agg(F.sum("bytes").alias("all"))
+    before = C.running_total(by, "conversation_id", "all", "before").select("conversation_id", (F.col("before") - F.col("all")).alias("before"))
     running = F.col("before") + F.sum("bytes").over(Window.partitionBy("conversation_id").orderBy("turn"))
     return sized.join(before, "conversation_id").select("conversation_id", "turn", "bytes", (running <= 100000).alias("fits"))
 
@@ -494,53 +488,3 @@ def top_06(spark, sf_dir):
     rows = spark.createDataFrame([("128k",), ("4k",), ("32k",), ("8k",)], "label string")
     size = F.regexp_replace("label", "[^0-9.]", "").cast("double")
     return rows.withColumn("size", size).withColumn("all", F.lit(1)).select("label", F.col("size"), F.row_number().over(Window.partitionBy("all").orderBy("size")).alias("place"))
-
-
-# ---- described only
-
-
-@query("op_doc_01_dpo_pairs", f"""{_MSGS}, w AS (SELECT conversation_id, position, role, text, lead(role, 1) OVER o AS r1, lead(role, 2) OVER o AS r2, lead(role, 3) OVER o AS r3, lead(lower(text), 2) OVER o AS t2, length(lead(text, 1) OVER o) AS l1, length(lead(text, 3) OVER o) AS l3 FROM msgs WINDOW o AS (PARTITION BY conversation_id ORDER BY position))
-SELECT conversation_id, CAST(position AS BIGINT) AS position FROM w WHERE role = 'user' AND r1 = 'assistant' AND r2 = 'user' AND r3 = 'assistant' AND l1 >= 50 AND l3 >= 50 AND ({' OR '.join("contains(t2, '" + p.replace("'", "''") + "')" for p in P.L.CORRECTIONS)})""")
-def doc_01(spark, sf_dir):
-    """Candidates for preference pairs: a question, an answer, a correction, a better answer."""
-    return dpo_candidates(clean(spark, sf_dir)).select("conversation_id", F.col("position").cast("long").alias("position"))
-
-
-def dpo_candidates(messages: DataFrame, least: int = 50) -> DataFrame:
-    order = Window.partitionBy("conversation_id").orderBy("position")
-    rows = messages.select("conversation_id", "position", "role", "text", *(F.lead(c, i).over(order).alias(f"{c}{i}") for i in (1, 2, 3) for c in ("role", "text")))
-    shape = (F.col("role") == "user") & (F.col("role1") == "assistant") & (F.col("role2") == "user") & (F.col("role3") == "assistant")
-    return rows.where(shape & (F.length("text1") >= least) & (F.length("text3") >= least) & (X.hits(F.lower("text2"), P.L.CORRECTIONS) > 0))
-
-
-@query("op_win_12_alternate_turns")
-def win_12(spark, sf_dir):
-    """Of overlapping candidates the first stays: starts lie four turns apart at least."""
-    rows = dpo_candidates(clean(spark, sf_dir)).groupBy("conversation_id").agg(F.array_sort(F.collect_list("position")).alias("p"))
-    apart = F.aggregate("p", F.array().cast("array<int>"), lambda acc, x: F.when(x >= F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(-4)) + 4, F.array_append(acc, x)).otherwise(acc))
-    return rows.select("conversation_id", F.explode(apart).alias("position"))
-
-
-@query("op_doc_02_release_pack", f"{_CONV} SELECT provider, conversation_id, CAST(r AS BIGINT) AS r FROM (SELECT provider, conversation_id, row_number() OVER (PARTITION BY provider ORDER BY information_gain DESC, conversation_id) AS r FROM conv WHERE correction_events > 0) WHERE r <= 50")
-def doc_02(spark, sf_dir):
-    order = Window.partitionBy("provider").orderBy(F.desc("information_gain"), "conversation_id")
-    return metrics(spark, sf_dir).where("correction_events > 0").select("provider", F.col("conversation_id"), F.row_number().over(order).cast("long").alias("r")).where("r <= 50")
-
-
-@query("op_doc_03_non_ascii_ratio", r"SELECT doc_id, round(CASE WHEN length(coalesce(text, '')) > 0 THEN 1 - CAST(length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) AS DOUBLE) / length(text) ELSE 0.0 END, 6) AS ratio FROM documents")
-def doc_03(spark, sf_dir):
-    text = F.coalesce("text", F.lit(""))
-    return P._out(table(spark, sf_dir, "documents").select("doc_id", F.when(F.length(text) > 0, 1 - F.length(F.regexp_replace(text, r"[^\x00-\x7F]", "")) / F.length(text).cast("double")).otherwise(F.lit(0.0)).alias("ratio")))
-
-
-@query("op_doc_04_workflow", f"{_MSGS} SELECT conversation_id, CASE WHEN count(*) FILTER (contains(text, '```')) > 0 THEN 'code' WHEN count(*) > 4 THEN 'dialogue' ELSE 'short' END AS workflow FROM msgs GROUP BY 1")
-def doc_04(spark, sf_dir):
-    rows = clean(spark, sf_dir).groupBy("conversation_id").agg(F.count_if(F.contains("text", F.lit("```"))).alias("code"), F.count("*").alias("n"))
-    return rows.select("conversation_id", F.when(F.col("code") > 0, "code").when(F.col("n") > 4, "dialogue").otherwise("short").alias("workflow"))
-
-
-@query("op_doc_05_term_emergence", f"{_CONV} SELECT term, CAST(min(period) AS BIGINT) AS first_period, count(*) AS n FROM (SELECT conversation_id, unnest(regexp_extract_all(text, '[A-Z]{{2,}}')) AS term FROM msgs) JOIN conv USING (conversation_id) GROUP BY 1")
-def doc_05(spark, sf_dir):
-    terms = clean(spark, sf_dir).select("conversation_id", F.explode(F.regexp_extract_all("text", F.lit("([A-Z]{2,})"), 1)).alias("term"))
-    joined = terms.join(metrics(spark, sf_dir).select("conversation_id", "period"), "conversation_id")
-    return joined.groupBy("term").agg(F.min("period").cast("long").alias("first_period"), F.count("*").alias("n"))

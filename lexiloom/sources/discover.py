@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import lexicons as L
 from . import exports as E
 
 
@@ -23,11 +24,17 @@ def newest(spark: SparkSession, base: str, pattern: str = "*") -> str | None:
     return max(listed(spark, base, pattern), key=lambda x: (x[1], x[0]), default=(None,))[0]
 
 
-def guard_provider(name: str) -> str:
-    """A provider's name; empty names and stand-ins are refused."""
+def guarded(name: Column, promote: Column) -> Column:
+    """A provider's name in lower case; null for an empty one, and for a filler provider that is not promoted."""
+    clean = F.lower(F.trim(name))
+    return F.when((clean != "") & (~clean.isin(*L.FILLER_PROVIDERS) | promote), clean)
+
+
+def guard_provider(name: str, promote: bool = False) -> str:
+    """The same for one name before a merge; what is refused raises."""
     clean = (name or "").strip().lower()
-    if not clean or re.fullmatch(r"(unknown|test|filler|dummy|none|null)", clean):
-        raise ValueError(f"not a provider: {name!r}")
+    if not clean or (clean in L.FILLER_PROVIDERS and not promote):
+        raise ValueError(f"not to be merged unless promoted: {name!r}")
     return clean
 
 

@@ -18,7 +18,9 @@ ROLES = {"human": "user", "user": "user", "assistant": "assistant", "ai": "assis
 CHATGPT = """id string, conversation_id string, title string, create_time double, update_time double,
 mapping map<string, struct<id: string, parent: string, children: array<string>, message: struct<author: struct<role: string>, content: struct<content_type: string, parts: array<string>, text: string>, create_time: double, update_time: double>>>"""
 CLAUDE = """uuid string, id string, name string, title string, summary string, created_at string, updated_at string, account struct<uuid: string>,
-chat_messages array<struct<uuid: string, text: string, sender: string, created_at: string, content: array<struct<type: string, text: string, content: string, value: string, result: string, output: string>>>>"""
+chat_messages array<struct<uuid: string, text: string, sender: string, created_at: string, content: string>>"""
+#: A block of a message's content; its first field with text counts.
+CLAUDE_BLOCK = "text string, content string, value string, result string, output string"
 DEEPSEEK = """id string, title string, inserted_at string, updated_at string,
 mapping map<string, struct<parent: string, children: array<string>, message: struct<inserted_at: string, fragments: array<struct<type: string, content: string>>>>>"""
 QWEN = """id string, title string, created_at double, updated_at double,
@@ -123,14 +125,25 @@ def first_time(exports: DataFrame) -> Column:
     return F.coalesce(exports["create_time"], exports["update_time"], F.get(F.filter(times, lambda t: t.isNotNull()), F.lit(0)))
 
 
+def content_text(content: Column) -> Column:
+    """Text of a message's content, read as JSON text: a plain string is itself; of a list, bare strings and the first filled field of each block."""
+
+    def block(b: Column) -> Column:
+        parts = F.from_json(b, CLAUDE_BLOCK)
+        filled = F.coalesce(*(F.when(stripped(parts[c]) != "", stripped(parts[c])) for c in ("text", "content", "value", "result", "output")))
+        return F.when(b.startswith("{"), filled).when(stripped(b) != "", stripped(b))
+
+    blocks = F.when(F.ltrim(content).startswith("["), F.from_json(content, "array<string>"))
+    return F.when(blocks.isNotNull(), _joined(F.transform(blocks, block), "\n\n")).otherwise(stripped(content))
+
+
 def claude(exports: DataFrame) -> DataFrame:
     """Text from the message or else its content blocks; each message's parent is the one before it."""
     key = F.coalesce("uuid", "id")
     title = F.coalesce(F.when(stripped(F.col("name")) != "", stripped(F.col("name"))), F.when(stripped(F.col("title")) != "", stripped(F.col("title"))), F.lit("Untitled"))
     rows = exports.where(key.isNotNull()).select(key.alias("conversation_id"), title.alias("title"), iso_seconds(F.col("created_at")).alias("_made"), iso_seconds(F.col("updated_at")).alias("_changed"), F.explode("chat_messages").alias("m"))
-    block = lambda b: F.coalesce(*(F.when(stripped(b[c]) != "", stripped(b[c])) for c in ("text", "content", "value", "result", "output")))
     direct = stripped(F.coalesce("m.text", F.lit("")))
-    text = F.when(direct != "", direct).otherwise(F.coalesce(_joined(F.transform("m.content", block), "\n\n"), F.lit("")))
+    text = F.when(direct != "", direct).otherwise(F.coalesce(content_text(F.col("m.content")), F.lit("")))
     roles = F.create_map(*(F.lit(x) for kv in ROLES.items() for x in kv))
     order = Window.partitionBy("conversation_id").orderBy(F.coalesce("create_time", F.lit(0.0)), F.coalesce("m.uuid", F.lit("")))
     placed = rows.withColumn("create_time", iso_seconds(F.col("m.created_at"))).withColumn("i", F.row_number().over(order) - 1)

@@ -20,9 +20,11 @@ from lexiloom.operators import dedup as U
 from lexiloom.operators import distill as D
 from lexiloom.operators import merge as M
 from lexiloom.operators import outliers as O
+from lexiloom.operators import preference
 from lexiloom.operators import schema as S
 from lexiloom.operators import validate as V
 from lexiloom.plans import samples as P
+from lexiloom.sources import discover
 from lexiloom.sources import exports as E
 from lexiloom.sources import records as R
 
@@ -123,12 +125,105 @@ def test_dedup(spark):
 
 
 def test_minhash_recall(spark, sf):
+    """Of rows with an earlier one at J >= 0.85 nearly all have a match; agreement of 128 values scatters by some 0.03, so it is asked for 0.78."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", F.col("text").alias("t"))
     sets = {r.doc_id: {r.t[i : i + 5] for i in range(max(1, len(r.t) - 4))} for r in docs.collect()}
-    got = {r.position: r.match for r in U.near(U.minhash_signatures(docs)).collect()}
+    got = {r.position: r.match for r in U.near(U.minhash_signatures(docs), 0.78).collect()}
     ids = sorted(sets)
-    wanted = [b for i, b in enumerate(ids) for a in ids[:i] if min(len(sets[a]), len(sets[b])) > 0.93 * max(len(sets[a]), len(sets[b])) and len(sets[a] & sets[b]) >= 0.93 * len(sets[a] | sets[b])]
-    assert sum(got[b] is not None for b in set(wanted)) >= 0.95 * len(set(wanted))
+    wanted = {b for i, b in enumerate(ids) for a in ids[:i] if min(len(sets[a]), len(sets[b])) > 0.85 * max(len(sets[a]), len(sets[b])) and len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b])}
+    found = sum(got[b] is not None for b in wanted)
+    print(f"recall {found / len(wanted):.4f} of {len(wanted)} rows at J >= 0.85")
+    assert found >= 0.98 * len(wanted)
+    assert all(len(sets[a] & sets[b]) >= 0.65 * len(sets[a] | sets[b]) for b, a in got.items() if a is not None)
+
+
+def test_simhash_finds_all_within_the_distance(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(-(1 << 63), 1 << 63, 30)
+    rows = []
+    for h in base.tolist():
+        rows.append(h)
+        for _ in range(6):
+            x = h & 0xFFFFFFFFFFFFFFFF
+            for bit in rng.choice(64, int(rng.integers(0, 6)), replace=False):
+                x ^= 1 << int(bit)
+            rows.append(x - (1 << 64) if x >> 63 else x)
+    got = U.near_by_simhash(spark.createDataFrame(list(enumerate(rows)), "position long, simhash long")).collect()
+    far = lambda a, b: ((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count()
+    for r in got:
+        earlier = [far(rows[r.position], rows[i]) for i in range(r.position)]
+        assert (r.match is not None) == any(d <= 3 for d in earlier)
+        assert r.match is None or (far(rows[r.position], rows[r.match]) == r.distance <= 3 and r.match < r.position)
+
+
+def test_band_candidates_grow_with_rows_only(spark):
+    """A bucket of 300 different signatures that share a band gives 299 candidates."""
+    rows = [(i, [7] * 8 + [i * 120 + j for j in range(120)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "position long, signature array<int>")
+    assert U.banded_pairs(df).count() == 299 and U.near(df).where("match IS NOT NULL").count() == 0
+
+
+def test_preference_pairs(spark):
+    base = "the quick brown fox jumps over the lazy dog near the river bank"
+    good = [(0, "user", "q " * 25), (1, "assistant", base), (2, "user", "that is wrong, the logic fails"), (3, "assistant", base + " and then it sleeps under the old tree")]
+    rows = [(1, *m) for m in good] + [(1, p + 2, r, t) for p, r, t in good[2:]]  # overlapping candidates
+    rows += [(2, p, r, base if p == 3 else t) for p, r, t in good]  # alike
+    rows += [(3, p, r, "x" * 60 if p == 3 else t) for p, r, t in good]  # unrelated
+    rows += [(4, p, r, "fine, go on" if p == 2 else t) for p, r, t in good]  # no correction
+    got = preference.pairs(spark.createDataFrame(rows, "conversation_id long, position int, role string, text string")).collect()
+    assert [(r.conversation_id, r.position, r.correction_type) for r in got] == [(1, 0, "logic_error")]
+    assert abs(got[0].confidence - 1.0) < 1e-9 and 0.3 < got[0].similarity < 0.8
+
+
+def test_families_and_workflows(spark):
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "Let me think: deeper reasoning, consider this"), (2, 0, "user", "```x```"), (2, 1, "assistant", "look"), (3, 0, "user", "hi")]
+    rows += [(4, p, ["assistant", "user"][p % 2], "```run```" if p % 2 == 0 else "Error: no") for p in range(6)]
+    df = spark.createDataFrame(rows, "conversation_id long, position int, role string, text string")
+    assert {r.conversation_id: (r.model, round(r.confidence, 3)) for r in preference.families(df).collect()} == {1: ("gpt-5-class", 1.0), 2: ("gpt-4.5", 0.2), 3: ("unknown", 0.0), 4: ("gpt-4.5", 0.2)}
+    assert {r.conversation_id: r.workflow for r in preference.workflows(df).collect()} == {2: "code_review_focused", 4: "interactive_debugging"}
+
+
+def test_claude_content_of_any_shape(spark):
+    import json
+
+    shapes = ["plain text", ["bare", {"type": "text", "text": "block"}, {"value": "v"}, {"type": "x"}, " "], [], None, "[not a list"]
+    rec = {"uuid": "c", "name": "n", "chat_messages": [{"uuid": f"m{i}", "text": "", "sender": "human", "created_at": f"2024-01-01T00:00:0{i}Z", "content": c} for i, c in enumerate(shapes)]}
+    parsed = spark.createDataFrame([(json.dumps(rec),)], "raw string").select(F.from_json("raw", E.CLAUDE).alias("r")).select("r.*")
+    assert {r.message_id: r.text for r in E.claude(parsed).collect()} == {"m0": "plain text", "m1": "bare\n\nblock\n\nv", "m4": "[not a list"}
+
+
+def test_budget_by_parts_is_the_plain_walk(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, int(t), float(r)) for i, (t, r) in enumerate(zip(rng.integers(1, 500, 400), rng.integers(0, 40, 400) / 40, strict=True))]
+    df = spark.createDataFrame(rows, "conversation_id long, canonical_tokens long, information_gain double")
+    for budget in (0, 3, 700, 20_000, 60_000, 99_000):
+        used, want = 0, set()
+        for i, t, _ in sorted(rows, key=lambda r: (-r[2], r[0])):
+            if used + t <= budget:
+                used += t
+                want.add(i)
+        assert {r.conversation_id for r in D.select_within_budget(df, budget).where("selected").collect()} == want
+
+
+def test_provider_guard():
+    assert discover.guard_provider(" Claude ") == "claude" and discover.guard_provider("qwen", promote=True) == "qwen"
+    for name, promote in (("deepseek", False), ("", True), (None, False)):
+        with pytest.raises(ValueError):
+            discover.guard_provider(name, promote)
+
+
+def test_exact_tokens_by_provider(spark, sf):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from lexiloom.plans import catalog, corpus
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {}
+    for r in corpus.clean(spark, sf).collect():
+        n, m = want.get(r.provider, (0, 0))
+        want[r.provider] = (n + 1, m + len(tok.encode(r.text, add_special_tokens=False).ids))
+    assert {r.provider: (r.messages, r.tokens) for r in catalog.QUERIES["op_agg_29_bpe_tokens"](spark, sf).collect()} == want
 
 
 def test_repeated_outliers_follow_the_formula(spark):
