@@ -26,7 +26,7 @@ def tone(lowered) -> Column:
 
 def marked_messages(clean: DataFrame) -> DataFrame:
     """Adds tone, the previous message's tone, is_correction and is_sycophantic."""
-    lowered = F.lower("text")
+    lowered = "lower(text)"
     order = Window.partitionBy("conversation_id").orderBy("position")
     out = clean.withColumn("tone", tone(lowered)).withColumn("prev_tone", F.lag("tone").over(order))
     out = out.withColumn("is_correction", (F.col("role") == "user") & (F.col("position") > 0) & (X.hits(lowered, L.CORRECTIONS) > 0))
@@ -65,8 +65,8 @@ def conversation_metrics(clean: DataFrame, conversations: DataFrame | None = Non
     similar = X.share(F.size(F.array_intersect("uw", "aw")), F.size(F.array_union("uw", "aw")))
     gain = F.when((F.size("uw") == 0) | (F.size("aw") == 0), F.lit(0.5)).when((similar >= 0.15) & (similar <= 0.45), 0.6 + (0.4 - similar)).otherwise(0.4 + similar * 0.3)
     wide = texts.withColumn("user_tokens", tokens("uw")).withColumn("assistant_tokens", tokens("aw")).withColumn("all_text", all_text)
-    lowered = F.lower("all_text")
-    topics = X.ranked({n: X.hits(F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), "all_text")), p) for n, p in L.TOPICS.items()})
+    lowered = "lower(all_text)"
+    topics = X.ranked({n: X.hits("lower(concat(coalesce(title, ''), ' ', all_text))", p) for n, p in L.TOPICS.items()})
     wide = wide.withColumn("topics", topics)
     return wide.select(
         "conversation_id",

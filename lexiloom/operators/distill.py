@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import written
+
 
 @dataclass(frozen=True)
 class Policy:
@@ -98,7 +100,11 @@ def _walked(narrow: DataFrame, room: int, kind: str) -> DataFrame:
 
 
 def distil(metrics: DataFrame, exact: int, policy: Policy = Policy()) -> DataFrame:
-    """All metrics with passed, reason, quality_tier, canonical_tokens and selected; scale carries heuristic to exact tokens."""
+    """All metrics with passed, reason, quality_tier, canonical_tokens and selected; scale carries heuristic to exact tokens.
+
+    The metrics are written once: what follows reads narrow rows several times.
+    """
+    metrics = written(metrics, "metrics")
     heuristic = metrics.agg(F.coalesce(F.sum("total_tokens"), F.lit(0))).first()[0]
     scale = exact / max(heuristic, 1)
     judged = gate(metrics, policy).withColumn("quality_tier", tier()).withColumn("canonical_tokens", (F.col("total_tokens") * F.lit(scale)).cast("long"))

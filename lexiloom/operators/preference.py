@@ -13,11 +13,9 @@ from ..functions import lexicons as L
 from ..functions import text as X
 
 
-def any_of(text: Column, phrases: list[str]) -> Column:
-    found = F.lit(False)
-    for p in phrases:
-        found = found | F.contains(text, F.lit(p))
-    return found
+def any_of(text: str, phrases: list[str]) -> Column:
+    """Whether a text, given as SQL, holds one of the phrases."""
+    return X.hits(text, phrases) > 0
 
 
 def similarity(a: Column, b: Column, most: int = 100) -> Column:
@@ -35,11 +33,11 @@ def pair_candidates(messages: DataFrame, least: int = 50, low: float = 0.3, high
     order = Window.partitionBy("conversation_id").orderBy("position")
     rows = messages.select("conversation_id", "position", "role", F.col("text").alias("prompt"), *(F.lead("role", i).over(order).alias(f"r{i}") for i in (1, 2, 3)), *(F.lead("text", i).over(order).alias(n) for i, n in ((1, "rejected"), (2, "correction"), (3, "chosen"))))
     shape = (F.col("role") == "user") & (F.col("r1") == "assistant") & (F.col("r2") == "user") & (F.col("r3") == "assistant")
-    rows = rows.where(shape & (F.length("rejected") >= least) & (F.length("chosen") >= least) & any_of(F.lower("correction"), L.PAIR_SIGNS))
+    rows = rows.where(shape & (F.length("rejected") >= least) & (F.length("chosen") >= least) & any_of("lower(correction)", L.PAIR_SIGNS))
     rows = rows.withColumn("similarity", similarity(F.col("rejected"), F.col("chosen"))).where(F.col("similarity").between(low, high))
     kind = F
     for name, signs in L.PAIR_TYPES.items():
-        kind = kind.when(any_of(F.lower("correction"), signs) if signs else F.length("chosen") > F.length("rejected") * 1.5, name)
+        kind = kind.when(any_of("lower(correction)", signs) if signs else F.length("chosen") > F.length("rejected") * 1.5, name)
     rows = rows.withColumn("correction_type", kind.otherwise("other"))
     tenth = lambda c, n=1: F.when(c, n).otherwise(0)
     tenths = 5 + tenth(F.size(X.words(F.col("prompt"))) > 20) + tenth((F.col("similarity") > 0.3) & (F.col("similarity") < 0.8), 2) + tenth(F.length("correction") > 10) + tenth(F.col("correction_type").isin("logic_error", "incomplete"))
@@ -91,7 +89,7 @@ def workflows(messages: DataFrame) -> DataFrame:
         F.count_if("code").alias("total_artifacts"),
         F.count_if(F.col("code") & (F.col("role") == "user")).alias("code_requests"),
         F.count_if(F.col("code") & (F.col("role") == "assistant")).alias("code_generations"),
-        F.count_if((F.col("role") == "user") & F.col("after_code") & any_of(F.col("text"), L.FEEDBACK)).alias("debugging_loops"),
+        F.count_if((F.col("role") == "user") & F.col("after_code") & any_of("text", L.FEEDBACK)).alias("debugging_loops"),
     )
     kind = F.when(F.col("debugging_loops") > 2, "interactive_debugging").when(F.col("code_generations") > F.col("code_requests"), "code_generation_focused")
     kind = kind.when(F.col("code_requests") > F.col("code_generations"), "code_review_focused").otherwise("mixed")

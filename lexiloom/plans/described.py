@@ -8,7 +8,7 @@ from ..functions import lexicons as L
 from ..functions import tokens as K
 from ..operators import preference as R
 from ..operators import sinks as W
-from .corpus import _BASE, _CONV, _FOLD, clean, distilled, metrics
+from .corpus import _BASE, _CONV, _FOLD, _list, clean, distilled, metrics
 from .files import folder
 from .registry import query
 
@@ -21,10 +21,24 @@ def _words(column: str) -> str:
     return rf"list_filter(regexp_split_to_array({column}, '\s+'), lambda w: w <> '')"
 
 
+#: The table's answers have next to no word in common and its users correct nothing, so texts get planted words, on both sides:
+#: answers those that a revision shares with its first version, other turns one of these by conversation and turn.
+PLANTED = ["the logic is wrong here, ", "please revise it in a cleaner style, ", "let me say it was unclear, ", "", "fix the bracket, "]
+ANSWERED = [" ".join(f"kept{i}" for i in range(n)) + " " for n in (70, 95, 40)]
+
+
+def said(spark, sf_dir):
+    """Cleaned messages with planted words."""
+    by = lambda items, key: F.get(F.array(*map(F.lit, items)), F.pmod(key, F.lit(len(items))).cast("int"))
+    planted = F.when(F.col("role") == "assistant", by(ANSWERED, F.col("conversation_id"))).otherwise(by(PLANTED, F.col("conversation_id") + F.col("turn")))
+    return clean(spark, sf_dir).withColumn("text", F.concat(planted, "text"))
+
+
+_SAID = _BASE.replace("WITH src", "WITH RECURSIVE src", 1) + f""", said AS (SELECT * REPLACE (CASE WHEN role = 'assistant' THEN {_list(ANSWERED)}[CAST(conversation_id % {len(ANSWERED)} AS INT) + 1] ELSE {_list(PLANTED)}[CAST((conversation_id + turn) % {len(PLANTED)} AS INT) + 1] END || text AS text) FROM msgs)"""
 _TYPE = " ".join(f"WHEN {_any('lower(t2)', signs) if signs else 'length(t3) > length(t1) * 1.5'} THEN '{name}'" for name, signs in L.PAIR_TYPES.items())
 #: Candidates in `cand`, those that do not overlap in `pairs`.
-_PAIRS = _BASE.replace("WITH src", "WITH RECURSIVE src", 1) + f"""
-, w AS (SELECT conversation_id, provider, position, role, text, {', '.join(f'lead(role, {i}) OVER o AS r{i}, lead(text, {i}) OVER o AS t{i}' for i in (1, 2, 3))} FROM msgs WINDOW o AS (PARTITION BY conversation_id ORDER BY position)),
+_PAIRS = _SAID + f"""
+, w AS (SELECT conversation_id, provider, position, role, text, {', '.join(f'lead(role, {i}) OVER o AS r{i}, lead(text, {i}) OVER o AS t{i}' for i in (1, 2, 3))} FROM said WINDOW o AS (PARTITION BY conversation_id ORDER BY position)),
 shape AS (SELECT *, list_distinct({_words('t1')}[1:100]) AS x, list_distinct({_words('t3')}[1:100]) AS y FROM w
   WHERE role = 'user' AND r1 = 'assistant' AND r2 = 'user' AND r3 = 'assistant' AND length(t1) >= 50 AND length(t3) >= 50 AND {_any('lower(t2)', L.PAIR_SIGNS)}),
 alike AS (SELECT *, CASE WHEN len(x) + len(y) > 0 THEN CAST(len(x) + len(y) - len(list_distinct(list_concat(x, y))) AS DOUBLE) / len(list_distinct(list_concat(x, y))) ELSE 0.0 END AS similarity FROM shape),
@@ -39,20 +53,20 @@ pairs AS (SELECT cand.* FROM cand JOIN pick USING (conversation_id, position))
 @query("op_doc_01_dpo_pairs", f"{_PAIRS} SELECT conversation_id, CAST(position AS BIGINT) AS position, round(similarity, 6) AS similarity, correction_type, round(confidence, 6) AS confidence, sha256(text || t1 || t2 || t3) AS sha FROM pairs")
 def doc_01(spark, sf_dir):
     """Preference pairs with type and confidence."""
-    p = R.pairs(clean(spark, sf_dir))
+    p = R.pairs(said(spark, sf_dir))
     return p.select("conversation_id", F.col("position").cast("long").alias("position"), F.round("similarity", 6).alias("similarity"), "correction_type", F.round("confidence", 6).alias("confidence"), F.sha2(F.concat("prompt", "rejected", "correction", "chosen"), 256).alias("sha"))
 
 
 @query("op_win_12_alternate_turns", f"{_PAIRS} SELECT conversation_id, CAST(position AS BIGINT) AS position FROM pairs")
 def win_12(spark, sf_dir):
     """Of overlapping candidates the first stays."""
-    return R.apart(R.pair_candidates(clean(spark, sf_dir))).select("conversation_id", F.col("position").cast("long").alias("position"))
+    return R.apart(R.pair_candidates(said(spark, sf_dir))).select("conversation_id", F.col("position").cast("long").alias("position"))
 
 
 @query("op_snk_08_training_export", f"{_PAIRS} SELECT conversation_id, CAST(position AS BIGINT) AS position, sha256(text || t1 || t3) AS sha, correction_type, round(confidence, 6) AS confidence FROM pairs")
 def snk_08(spark, sf_dir):
     """The pairs as JSON lines, read back."""
-    rows = W.to_json_lines(W.dpo_records(clean(spark, sf_dir)), folder(spark))
+    rows = W.to_json_lines(W.dpo_records(said(spark, sf_dir)), folder(spark))
     return rows.select("conversation_id", F.col("position").cast("long").alias("position"), F.sha2(F.concat("prompt", "rejected", "chosen"), 256).alias("sha"), "correction_type", F.round("confidence", 6).alias("confidence"))
 
 
@@ -65,13 +79,13 @@ _PACK = f"{_PAIRS}, pack AS (SELECT *, row_number() OVER (PARTITION BY provider
 
 @query("op_doc_02_release_pack", f"{_PACK} SELECT provider, conversation_id, CAST(position AS BIGINT) AS position, CAST(place AS BIGINT) AS place FROM pack WHERE place <= 50")
 def doc_02(spark, sf_dir):
-    return R.release_pack(_with_provider(R.pairs(clean(spark, sf_dir)))).select("provider", "conversation_id", F.col("position").cast("long").alias("position"), F.col("place").cast("long").alias("place"))
+    return R.release_pack(_with_provider(R.pairs(said(spark, sf_dir)))).select("provider", "conversation_id", F.col("position").cast("long").alias("position"), F.col("place").cast("long").alias("place"))
 
 
 @query("op_doc_02_manifest", f"{_PACK} SELECT provider, CAST(50 AS BIGINT) AS quota, count(*) AS pairs, count(*) FILTER (place <= 50) AS realized, count(*) FILTER (place > 50) AS beyond_quota, round(min(confidence) FILTER (place <= 50), 6) AS least_confidence FROM pack GROUP BY 1")
 def doc_02_manifest(spark, sf_dir):
     """Quotas, realized counts, what the quota left out and the confidence reached."""
-    p = R.release_pack(_with_provider(R.pairs(clean(spark, sf_dir))), quota=2**31 - 1)
+    p = R.release_pack(_with_provider(R.pairs(said(spark, sf_dir))), quota=2**31 - 1)
     inside = F.col("place") <= 50
     return p.groupBy("provider").agg(F.lit(50).cast("long").alias("quota"), F.count("*").alias("pairs"), F.count_if(inside).alias("realized"), F.count_if(~inside).alias("beyond_quota"), F.round(F.min(F.when(inside, F.col("confidence"))), 6).alias("least_confidence"))
 

@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import streaming as S
+from ..storage import new_folder
 from .registry import query, table
 
 
 def _checkpoint(spark) -> str:
-    """The shared folder of the cluster, or a temporary one in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="lexiloom-stream-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return new_folder(spark, "stream")
 
 
 @query("op_stm_01_distinct_texts", "SELECT count(DISTINCT coalesce(text, '')) AS n FROM documents")
