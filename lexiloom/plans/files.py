@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,13 @@ def snk_05(spark, sf_dir):
     return spark.createDataFrame([(W.artifact(row),)], "json string")
 
 
-@query("op_snk_06_markdown_report")
+def _section_sql(place: int, title: str, column: str) -> str:
+    rows = f"SELECT '| ' || {column} || ' | ' || count(*) || ' | ' || CAST(sum(total_tokens) AS BIGINT) || ' |' AS text, row_number() OVER (ORDER BY count(*) DESC, {column}) + 4 AS i FROM conv GROUP BY {column}"
+    head = f"SELECT unnest(['', '## {title}', '', '| {column} | n | tokens |', '|-|-|-|']) AS text, unnest(range(5)) AS i"
+    return f"SELECT {place} AS place, i, text FROM ({head} UNION ALL SELECT text, i FROM ({rows}) WHERE i < 55)"
+
+
+@query("op_snk_06_markdown_report", f"{_CONV}, report AS (SELECT 0 AS place, 0 AS i, '# Corpus' AS text UNION ALL {_section_sql(1, 'Topics', 'topic_primary')} UNION ALL {_section_sql(2, 'Tones', 'tone_cluster')}) SELECT CAST(row_number() OVER (ORDER BY place, i) - 1 AS INT) AS line, text FROM report")
 def snk_06(spark, sf_dir):
     m = metrics(spark, sf_dir).select("topic_primary", "tone_cluster", "total_tokens").cache()
     counted = lambda c: m.groupBy(c).agg(F.count("*").alias("n"), F.sum("total_tokens").alias("tokens")).orderBy(F.desc("n"), c)
@@ -60,9 +68,7 @@ def _written_export(spark: SparkSession, sf_dir: str, provider: str, as_array: b
     """Export files of a provider in a new shared folder: JSON lines, or one array of all conversations."""
     base = folder(spark)
     raw = T.raw_exports(spark, sf_dir, provider)
-    if as_array:  # an export is one file by its nature
-        raw = raw.agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("raw")), ",\n"), F.lit("]")).alias("raw"))
-    raw.coalesce(1).write.text(base)
+    (_as_array(raw, "raw") if as_array else raw.coalesce(1)).write.text(base)
     return base
 
 
@@ -131,19 +137,43 @@ def src_12(spark, sf_dir):
     return E.chatgpt(D.conversations_of(_roots(spark, sf_dir)), keep_system=True).groupBy("role").agg(F.count("*").alias("n"))
 
 
-@query("op_src_14_claude_folder", f"{_MSGS} {_IDS}")
+def _as_array(rows: DataFrame, column: str) -> DataFrame:
+    """All JSON texts as one array: an export is one file by its nature."""
+    return rows.agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(column)), ",\n"), F.lit("]")).alias(column)).coalesce(1)
+
+
+_USERS_SQL = "SELECT '[' || string_agg('\"' || n_name || '\"', ',' || chr(10) ORDER BY n_name) || ']' || chr(10) AS body, count(*) AS n FROM nation"
+
+
+@query("op_src_14_claude_folder", f"""{_MSGS}, users AS ({_USERS_SQL}) SELECT CAST(conversation_id AS VARCHAR) AS item, count(*) AS n, NULL AS sha256 FROM msgs GROUP BY 1
+UNION ALL SELECT 'users.json', n, sha256(body) FROM users UNION ALL SELECT 'projects.json', NULL, sha256('{{}}' || chr(10))""")
 def src_14(spark, sf_dir):
-    """A folder with conversations.json and no side files."""
+    """A folder with conversations.json and two side files, of which one is no list: messages by conversation, counts and hashes of the side files."""
     base = folder(spark)
-    raw = T.raw_exports(spark, sf_dir, "claude").agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list("raw")), ",\n"), F.lit("]")).alias("raw"))
-    raw.coalesce(1).write.text(f"{base}/conversations.json")
-    return _per_conversation(D.claude_folder(spark, base)[0])
+    _as_array(T.raw_exports(spark, sf_dir, "claude"), "raw").write.text(f"{base}/conversations.json")
+    _as_array(table(spark, sf_dir, "nation").select(F.to_json(F.array("n_name")).alias("v")).select(F.expr("substring(v, 2, length(v) - 2)").alias("v")), "v").write.text(f"{base}/users.json")
+    spark.range(1).select(F.lit("{}")).coalesce(1).write.text(f"{base}/projects.json")
+    messages, side = D.claude_folder(spark, base)
+    own = _per_conversation(messages).select(F.col("conversation_id").alias("item"), "n", F.lit(None).cast("string").alias("sha256"))
+    return own.unionByName(side.select(F.col("name").alias("item"), F.col("count").alias("n"), "sha256"))
 
 
-@query("op_src_17_discovery", "SELECT 'nation.parquet' AS name")
+@query("op_src_17_discovery", f"{_MSGS}, p AS (SELECT unnest(['claude', 'deepseek', 'qwen']) AS provider, unnest(['new', 'conversations.json', 'qwen-chat-export-1.json']) AS found) SELECT p.provider, found, count(*) AS messages, sum(length(text)) AS chars FROM p, msgs GROUP BY 1, 2")
 def src_17(spark, sf_dir):
-    found = D.newest(spark, sf_dir, "nation*.parquet")
-    return spark.createDataFrame([(found.rsplit("/", 1)[-1],)], "name string")
+    """Each provider's export found among others of its folder and read."""
+    base, out = folder(spark), []
+    put = lambda provider, name: _as_array(T.raw_exports(spark, sf_dir, provider), "raw").write.text(f"{base}/{provider}/{name}")
+    spark.range(1).select(F.lit("[]")).write.text(f"{base}/claude/old/conversations.json")
+    spark.range(1).select(F.lit("[]")).write.text(f"{base}/claude/claude_conversations.json")
+    put("claude", "new/conversations.json")
+    put("deepseek", "conversations.json")
+    put("qwen", "qwen-chat-export-1.json")
+    spark.range(1).select(F.lit("[]")).write.text(f"{base}/qwen/qwen-chat-export-2.json")
+    for provider in ("claude", "deepseek", "qwen"):
+        path = D.export_of(spark, base, provider)
+        rows = D.claude_folder(spark, path)[0] if provider == "claude" else E.messages(spark, provider, path)
+        out.append(rows.agg(F.count("*").alias("messages"), F.sum(F.length("text")).alias("chars")).select(F.lit(provider).alias("provider"), F.lit(path.rsplit("/", 1)[-1]).alias("found"), "messages", "chars"))
+    return reduce(DataFrame.unionByName, out)
 
 
 @query("op_src_19_table_scan", "SELECT count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents WHERE lang = 'en'")
@@ -232,7 +262,7 @@ def sch_05(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(text.split("\n"))), "line int, text string")
 
 
-@query("op_sch_06_rollup_document")
+@query("op_sch_06_rollup_document", f"{P._QUALITY_SQL} SELECT to_json({{'documents': count(*), 'chars': (SELECT CAST(sum(n_chars) AS BIGINT) FROM documents), 'sources': (SELECT count(DISTINCT source) FROM documents), 'mean_quality': round(avg(quality), 6)}}) AS document FROM q")
 def sch_06(spark, sf_dir):
     """Counts, quality and schema of the corpus as one JSON document."""
     docs = table(spark, sf_dir, "documents").agg(F.count("*").alias("documents"), F.sum("n_chars").alias("chars"), F.count_distinct("source").alias("sources"))
@@ -241,7 +271,7 @@ def sch_06(spark, sf_dir):
     return both.select(F.to_json(F.struct("*")).alias("document"))
 
 
-@query("op_val_09_release_checks", "SELECT 'counts' AS gate, 'PASS' AS verdict UNION ALL SELECT 'unique_ids', 'PASS' UNION ALL SELECT 'visuals', 'SKIP'")
+@query("op_val_09_release_checks", "SELECT 'counts' AS gate, CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM documents UNION ALL SELECT 'unique_ids', CASE WHEN count(*) = count(DISTINCT doc_id) THEN 'PASS' ELSE 'FAIL' END FROM documents UNION ALL SELECT 'visuals', 'SKIP'")
 def val_09(spark, sf_dir):
     row = table(spark, sf_dir, "documents").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids"))
     return V.gates(row, {"counts": F.col("n") > 0, "unique_ids": F.col("n") == F.col("ids"), "visuals": F.lit(None).cast("boolean")})

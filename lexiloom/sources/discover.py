@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,10 +39,35 @@ def guard_provider(name: str, promote: bool = False) -> str:
     return clean
 
 
+def export_of(spark: SparkSession, base: str, provider: str) -> str:
+    """Where a provider's export lies under base: the folder or file that its readers take; raises where there is none.
+
+    deepseek has one file, qwen its first file by name, claude its newest folder with conversations.json or else
+    one file of an older kind.
+    """
+    if provider == "qwen":
+        found = [p for p, _ in listed(spark, f"{base}/qwen", "qwen-chat-export-*.json")][:1]
+    elif provider == "claude":
+        whole = newest(spark, f"{base}/claude", "*/conversations.json")
+        found = [whole.rsplit("/", 1)[0]] if whole else [p for p, _ in listed(spark, f"{base}/claude", "claude_conversations.json")]
+    else:
+        found = [p for p, _ in listed(spark, f"{base}/{provider}", "conversations.json")] if provider == "deepseek" else []
+    if not found:
+        raise FileNotFoundError(f"no export of {provider!r} under {base}")
+    return found[0]
+
+
+# Files that may lie beside conversations.json.
+SIDE_FILES = ("projects.json", "memories.json", "users.json")
+
+
 def claude_folder(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(messages of conversations.json, name, length and sha256 of the side files)."""
-    side = E.file_shards(spark, [path], "{projects,memories,users}.json")
-    return E.messages(spark, "claude", f"{path}/conversations.json"), side.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256")
+    """(messages of conversations.json, name, length, sha256 and count of the side files); count is null for a file that holds no list."""
+    count = F.json_array_length(F.col("content").cast("string")).cast("long")
+    read = lambda n: spark.read.format("binaryFile").load(f"{path}/{n}").select(F.lit(n).alias("name"), "length", F.sha2("content", 256).alias("sha256"), count.alias("count"))
+    side = [read(n) for n in SIDE_FILES if listed(spark, path, n)]
+    none = spark.createDataFrame([], "name string, length long, sha256 string, count long")
+    return E.messages(spark, "claude", f"{path}/conversations.json"), reduce(DataFrame.unionByName, side, none)
 
 
 def conversations_of(raw: DataFrame, column: str = "raw") -> DataFrame:
