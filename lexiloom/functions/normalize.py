@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 
@@ -57,7 +58,7 @@ def encoding_issues(text: Column) -> Column:
 
 
 def unicode_form(text: Column, form: str = "NFC") -> Column:
-    """ASCII texts are normal in every form and pass by; only others go through Arrow."""
+    """The text in a Unicode form, which no built-in gives; ASCII texts are normal in every form and come back as they are."""
 
     @F.pandas_udf(T.StringType())
     def normal(values: pd.Series) -> pd.Series:
@@ -66,23 +67,29 @@ def unicode_form(text: Column, form: str = "NFC") -> Column:
     return normal(text)
 
 
+_SPACES = re.compile(r"\s*")
+
+
+def break_lines(text: str, width: int) -> str:
+    """`broken_lines` of one text; a line of any length is gone over once."""
+    out = []
+    for line in text.split("\n"):
+        at = 0
+        while len(line) - at > width:
+            cut = line.rfind(" ", at + int(width * 0.8) + 1, at + width + 1)
+            cut = cut if cut >= 0 else at + width
+            out.append(line[at:cut])
+            at = _SPACES.match(line, cut).end()
+        out.append(line[at:])
+    return "\n".join(out)
+
+
 def broken_lines(text: Column, width: int) -> Column:
     """Lines over width are broken at the last blank in their last fifth, else at width."""
 
-    def broken(t: str) -> str:
-        out = []
-        for line in t.split("\n"):
-            while len(line) > width:
-                at = line.rfind(" ", int(width * 0.8) + 1, width + 1)
-                at = at if at > 0 else width
-                out.append(line[:at])
-                line = line[at:].lstrip()
-            out.append(line)
-        return "\n".join(out)
-
     @F.pandas_udf(T.StringType())
     def apply(values: pd.Series) -> pd.Series:
-        return values.map(lambda t: None if t is None else broken(t))
+        return values.map(lambda t: None if t is None else break_lines(t, width))
 
     return apply(text)
 

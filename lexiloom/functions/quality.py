@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,6 +32,35 @@ def composite(read: Column, repetition: Column, entropy: Column, boiler: Column)
     return 0.3 * read + 0.3 * (1 - repetition) + 0.2 * entropy + 0.2 * (1 - boiler)
 
 
+#: Words that one of four languages uses much and the others do not.
+COMMON_WORDS = {"en": ("the", "of", "and", "with", "that"), "de": ("der", "und", "die", "nicht", "ist"), "fr": ("le", "les", "et", "des", "qui"), "es": ("el", "los", "por", "una", "del")}
+
+
+def by_common_words(text: Column) -> tuple[Column, Column]:
+    """(language of the most common words, its share of their hits); null where there are none. A plain detector for `detected_language`."""
+    words = F.split(F.lower(text), " ")
+    count = lambda own: F.size(F.filter(words, lambda w: w.isin(*own)))
+    hits = F.array(*map(count, COMMON_WORDS.values()))
+    best = X.let(hits, lambda h: F.when(F.array_max(h) > 0, F.get(F.array(*map(F.lit, COMMON_WORDS)), (F.array_position(h, F.array_max(h)) - 1).cast("int"))))
+    return best, X.let(hits, lambda h: F.array_max(h) / F.aggregate(h, F.lit(0), lambda a, b: a + b).cast("double"))
+
+
+def by_ascii(text: Column) -> tuple[Column, Column]:
+    """The portable rule: pure ASCII counts as English."""
+    return F.when(F.rlike(text, F.lit(r"^[\x00-\x7F]*\z")), "en").otherwise("non_ascii"), F.lit(1.0)
+
+
+def detected_language(text: Column, detector: Callable[[Column], tuple[Column, Column]] = by_ascii, least: int = 50) -> Column:
+    """struct<language, confidence> by a detector: any function from a text Column to both Columns, such as Arrow UDFs over a library.
+
+    Texts of fewer than `least` characters, null and those without an answer are `unknown` with 0.
+    """
+    known = F.length(F.coalesce(text, F.lit(""))) >= least
+    language, confidence = detector(text)
+    found = known & language.isNotNull()
+    return F.struct(F.when(found, language).otherwise("unknown").alias("language"), F.when(found, confidence).otherwise(F.lit(0.0)).alias("confidence"))
+
+
 def pii_types(text: Column) -> Column:
     return F.array_compact(F.array(*(F.when(F.rlike(text, F.lit(p)), F.lit(n)) for n, p in L.PII.items())))
 

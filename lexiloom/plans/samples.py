@@ -431,9 +431,21 @@ def flt_13(spark, sf_dir):
 
 @query("op_txt_37_language", r"SELECT doc_id, CASE WHEN length(coalesce(text, '')) < 50 THEN 'unknown' WHEN regexp_full_match(text, '[\x00-\x7F]*') THEN 'en' ELSE 'non_ascii' END AS language FROM documents")
 def txt_37(spark, sf_dir):
-    """The portable rule: short texts are unknown, pure ASCII counts as English."""
-    text = F.coalesce("text", F.lit(""))
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(F.length(text) < 50, "unknown").when(F.rlike(text, F.lit(r"^[\x00-\x7F]*\z")), "en").otherwise("non_ascii").alias("language"))
+    """The portable rule stands in for a detector."""
+    found = Q.detected_language(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", found["language"].alias("language"))
+
+
+_STOP_SQL = ", ".join(f"len(list_filter(string_split(lower(text), ' '), lambda w: w IN ({', '.join(map(repr, words))})))" for words in Q.COMMON_WORDS.values())
+
+
+@query("op_txt_37_detected_language", f"""WITH h AS (SELECT doc_id, text, [{_STOP_SQL}] AS h FROM documents)
+SELECT doc_id, CASE WHEN length(coalesce(text, '')) < 50 OR list_max(h) = 0 THEN 'unknown' ELSE {_list(list(Q.COMMON_WORDS))}[list_position(h, list_max(h))] END AS language,
+round(CASE WHEN length(coalesce(text, '')) < 50 OR list_max(h) = 0 THEN 0.0 ELSE CAST(list_max(h) AS DOUBLE) / list_sum(h) END, 6) AS confidence FROM h""")
+def txt_37_detected(spark, sf_dir):
+    """A detector plugged in: common words by language, the first of the most hits, its share as confidence."""
+    found = Q.detected_language(F.col("text"), Q.by_common_words)
+    return _out(table(spark, sf_dir, "documents").select("doc_id", found.alias("l")).select("doc_id", "l.*"))
 
 
 @query("op_txt_38_token_entropy", f"{_BASE} SELECT doc_id, round((SELECT abs(coalesce(log2(sum(c)) - sum(c * log2(c)) / sum(c), 0.0)) FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM (SELECT unnest({_WT}) AS w) GROUP BY w)), 6) AS bits FROM s")

@@ -1,8 +1,9 @@
 """Operators on hand-made rows: formulas, folds, sources, merge, streaming."""
 
 import gzip
+import hashlib
 import json
-
+import os
 
 import numpy as np
 import pytest
@@ -23,6 +24,7 @@ from lexiloom.operators import outliers as O
 from lexiloom.operators import preference
 from lexiloom.operators import schema as S
 from lexiloom.operators import validate as V
+from lexiloom.plans import catalog
 from lexiloom.plans import samples as P
 from lexiloom.sources import discover
 from lexiloom.sources import exports as E
@@ -216,7 +218,7 @@ def test_exact_tokens_by_provider(spark, sf):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from lexiloom.plans import catalog, corpus
+    from lexiloom.plans import corpus
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     want = {}
@@ -250,6 +252,51 @@ def test_history_window(i, size):
     assert len(h.given) == size
 
 
+@given(st.text(alphabet="ab \t\n\u3000", max_size=120), st.integers(5, 20))
+@settings(max_examples=200, deadline=None)
+def test_lines_broken_as_if_cut_one_by_one(text, width):
+    def plain(line):
+        out = []
+        while len(line) > width:
+            at = line.rfind(" ", int(width * 0.8) + 1, width + 1)
+            at = at if at > 0 else width
+            out.append(line[:at])
+            line = line[at:].lstrip()
+        return [*out, line]
+
+    assert N.break_lines(text, width) == "\n".join(x for line in text.split("\n") for x in plain(line))
+
+
+def test_char_categories_count_every_character(spark):
+    got = json.loads(value(spark, N.char_categories(F.col("t")), t="aB 1\n\u00e4"))
+    assert got == {"Ll": 2, "Lu": 1, "Zs": 1, "Nd": 1, "Cc": 1} and value(spark, N.char_categories(F.col("t")), t="") == "{}"
+
+
+def test_checksums_are_those_of_the_files(spark, sf):
+    got = {r.name: (r.length, r.sha256) for r in catalog.QUERIES["op_val_04_checksums"](spark, sf).collect()}
+    content = {n: open(f"{sf}/{n}", "rb").read() for n in ("nation.parquet", "region.parquet")}
+    assert got == {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in content.items()}
+
+
+def test_export_of(spark, tmp_path):
+    for i, name in enumerate(("claude/a/conversations.json", "claude/b/conversations.json", "qwen/qwen-chat-export-2.json", "qwen/qwen-chat-export-1.json", "deepseek/conversations.json")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("[]")
+        os.utime(tmp_path / name, (10 + i, 10 + i))
+    found = lambda p: discover.export_of(spark, str(tmp_path), p).split(str(tmp_path))[1]
+    assert [found(p) for p in ("claude", "qwen", "deepseek")] == ["/claude/b", "/qwen/qwen-chat-export-1.json", "/deepseek/conversations.json"]
+    with pytest.raises(FileNotFoundError):
+        found("chatgpt")
+
+
+def test_detector_is_any_function_of_a_text(spark):
+    long = "the word and the other word with that of the language, and more"
+    both = lambda t, *how: value(spark, Q.detected_language(F.col("t"), *how), t=t)
+    assert both(long, Q.by_common_words) == ("en", 1.0) and both(long) == ("en", 1.0)
+    assert both("xx " * 30, Q.by_common_words) == ("unknown", 0.0) and both("short") == both(None) == ("unknown", 0.0)
+    assert both(long, lambda t: (F.lit("tr"), F.lit(0.25))) == ("tr", 0.25)
+
+
 # ---- merge
 
 
