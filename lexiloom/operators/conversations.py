@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
 from ..functions import text as X
+from ..functions.parts import bounds_under
 
 
 def clean_messages(messages: DataFrame) -> DataFrame:
@@ -105,7 +106,7 @@ def running_total(rows: DataFrame, order: str, value: str, name: str) -> DataFra
     """
     n = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = sorted(set(rows.select(F.col(order).cast("double").alias("o")).approxQuantile("o", [i / n for i in range(1, n)], 0.01))) if n > 1 else []
-    dealt = rows.withColumn("_part", sum(((F.col(order).cast("double") > F.lit(b)).cast("int") for b in bounds), F.lit(0)))
+    dealt = rows.withColumn("_part", bounds_under(F.col(order).cast("double"), bounds))
     sums = {r["_part"]: r["v"] for r in dealt.groupBy("_part").agg(F.sum(value).alias("v")).collect()}
     before, at = {0: 0}, 0
     for p in sorted(sums):
@@ -129,10 +130,7 @@ def with_period(conversations: DataFrame, order: list[str], parts: int = 5) -> D
     # Quantile bounds of a narrow key are few; each row finds its part, so ranks inside parts add up.
     dealt = keys.withColumn("_part", F.col("_o0").cast("double"))
     bounds = sorted(set(dealt.approxQuantile("_part", [i / n for i in range(1, n)], 0.01))) if n > 1 else []
-    part = F.lit(0)
-    for b in bounds:
-        part = part + (F.col("_part") > F.lit(b)).cast("int")
-    dealt = dealt.withColumn("_part", part)
+    dealt = dealt.withColumn("_part", bounds_under(F.col("_part"), bounds))
     sizes = {r["_part"]: r["count"] for r in dealt.groupBy("_part").count().collect()}
     total, before, at = sum(sizes.values()), {}, 0
     for p in sorted(sizes):

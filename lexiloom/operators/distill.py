@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.parts import bounds_over
 from ..storage import written
 
 
@@ -63,8 +64,7 @@ def select_within_budget(passed: DataFrame, budget: int, tokens: str = "canonica
     narrow = passed.select(F.col(tie).alias("k"), F.col(tokens).cast("long").alias("t"), F.col(rank).alias("r"))
     n = 4 * max(1, int(passed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = sorted(set(narrow.approxQuantile("r", [i / n for i in range(1, n)], 0.25 / n)), reverse=True)
-    part = sum(((F.col("r") < F.lit(b)).cast("int") for b in bounds), F.lit(0))  # higher ranks first; rows without a rank last
-    narrow = narrow.withColumn("part", F.coalesce(part, F.lit(len(bounds))))
+    narrow = narrow.withColumn("part", bounds_over(F.col("r"), bounds))  # higher ranks first; rows without a rank last
     sums = {r["part"]: r["t"] for r in narrow.groupBy("part").agg(F.sum("t").alias("t")).collect()}
     used, whole = 0, -1
     for p in range(len(bounds) + 1):
