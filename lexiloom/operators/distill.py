@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parts import bounds_over
+from ..functions.text import fixed3
 from ..storage import written
 
 
@@ -26,7 +27,7 @@ class Policy:
 
 def gate(metrics: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """Adds passed and reason; the first rule that fails gives the reason."""
-    show = lambda c: F.format_string("%.3f", c)
+    show = fixed3
     rules = [
         ("info_gain", "information_gain", "<", policy.min_information_gain, show(F.col("information_gain"))),
         ("malicious_compliance", "malicious_compliance", ">", policy.max_malicious_compliance, show(F.col("malicious_compliance"))),
