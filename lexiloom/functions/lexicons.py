@@ -43,6 +43,12 @@ INJECTION = [r"ignore\s+(?:previous|above|prior)", r"forget\s+(?:previous|above|
 JAILBREAK = [r"dan\s*(?:mode|prompt)", r"jailbreak", r"ignore\s+ethical", r"pretend\s+(?:to\s+be|you\s+are)", r"role\s*play", r"hypothetically", r"for\s+educational\s+purposes", r"research\s+purposes"]
 EXFILTRATION = [r"send\s+(?:to|data).*?http", r"upload\s+to", r"base64\s+encode", r"encode\s+as", r"save\s+to\s+file"]
 UNSAFE = {"injection": (INJECTION, 0.2), "jailbreak": (JAILBREAK, 0.3), "exfiltration": (EXFILTRATION, 0.25)}
+#: Lower-cased words that a match of each category must hold: all words of one entry.
+UNSAFE_WORDS = {
+    "injection": [("ignore",), ("forget",), ("disregard",), ("system", ":"), ("user", "assistant"), ("{{",), ("<%",), ("${",)],
+    "jailbreak": [("dan", "mode"), ("dan", "prompt"), ("jailbreak",), ("ignore", "ethical"), ("pretend",), ("role", "play"), ("hypothetically",), ("purposes",)],
+    "exfiltration": [("send", "http"), ("upload",), ("base64",), ("encode", "as"), ("save", "file")],
+}
 
 # Patterns of artifacts in conversations.
 TERMINAL = r"(?:>>>|\$|# Output:|Error:)"

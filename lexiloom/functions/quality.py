@@ -9,23 +9,26 @@ from pyspark.sql import functions as F
 
 from . import lexicons as L
 from . import text as X
+from .measures import counts, repeated
+
+# The functions over `counts` of a text take the struct where it is there already; else they have it made.
 
 
 def readability(text: Column) -> Column:
     """Shorter words and sentences read easier; 0 without words."""
-    tokens = X.words(text)
-    n = F.size(tokens)
-    letters = F.length(F.array_join(tokens, ""))
-    sentences = F.regexp_count(text, F.lit("[.!?]")) + 1
-    return F.when(n > 0, X.clamped(1 - (letters / n - 4) / 10 - (n / sentences - 15) / 50)).otherwise(F.lit(0.0))
+    k = counts(text, "words", "word_chars", "stops")
+    n = k["words"]
+    return F.when(n > 0, X.clamped(1 - (k["word_chars"] / n - 4) / 10 - (n / (k["stops"] + 1) - 15) / 50)).otherwise(F.lit(0.0))
 
 
-def trigram_repetition(text: Column) -> Column:
-    return X.repeated_share(X.ngrams(X.words(F.lower(text)), 3))
+def trigram_repetition(text: Column, lowered: Column | None = None) -> Column:
+    k = lowered if lowered is not None else counts(F.lower(text), "words", "words3")
+    return repeated(k["words3"], k["words"] - 2)
 
 
-def boilerplate(text: Column) -> Column:
-    return F.least(F.lit(1.0), X.hits(F.lower(text), L.BOILERPLATE) / F.lit(3.0))
+def boilerplate(text: Column, lowered: Column | None = None) -> Column:
+    k = lowered if lowered is not None else counts(F.lower(text), "boilerplate")
+    return F.least(F.lit(1.0), k["boilerplate"] / F.lit(3.0))
 
 
 def composite(read: Column, repetition: Column, entropy: Column, boiler: Column) -> Column:
@@ -69,14 +72,16 @@ def keyword_risk(text: Column) -> Column:
     return F.least(F.lit(1.0), X.hits(F.lower(text), L.RISK_WORDS) / F.lit(3.0))
 
 
-def unsafe_scores(text: Column) -> dict[str, Column]:
-    """Score of each category: matches times weight, at most 1."""
-    return {name: F.least(F.lit(1.0), F.regexp_count(text, F.lit("(?i)" + "|".join(p))) * F.lit(w)) for name, (p, w) in L.UNSAFE.items()}
+def unsafe_scores(text: Column, lowered: Column | None = None) -> dict[str, Column]:
+    """Score of each category: matches times weight, at most 1. A text without the words that a match must hold is not searched."""
+    k = lowered if lowered is not None else counts(F.lower(text), *L.UNSAFE)
+    score = lambda p, w: F.least(F.lit(1.0), F.regexp_count(text, F.lit("(?i)" + "|".join(p))) * F.lit(w))
+    return {name: F.when(k[name] == 0, F.lit(0.0)).otherwise(score(p, w)) for name, (p, w) in L.UNSAFE.items()}
 
 
-def unsafe(text: Column) -> tuple[Column, Column]:
+def unsafe(text: Column, lowered: Column | None = None) -> tuple[Column, Column]:
     """(highest category score, categories over 0.3)."""
-    scores = unsafe_scores(text)
+    scores = unsafe_scores(text, lowered)
     return F.greatest(*scores.values()), F.array_compact(F.array(*(F.when(s > 0.3, F.lit(n)) for n, s in scores.items())))
 
 
@@ -88,49 +93,50 @@ def entropy_score(bits: Column, low: float = 2.0, high: float = 6.0) -> Column:
     return X.let(bits, scored)
 
 
-def repetition(text: Column, counts: Column | None = None, tokens: Column | None = None) -> Column:
-    """Highest of five: most frequent character, lines, character pairs, word 3-grams and 4-grams; 0 under 10 characters.
+#: What `repetition` and `anomaly_flags` read of `counts`.
+REPETITION = ("top", "lines", "lines1", "chars2", "words", "words3", "words4")
+ANOMALY = ("bits", "letters", "vowels", "control", "punctuation")
 
-    counts (of characters) and tokens (words) may be given where they are there already.
-    """
-    lines = F.filter(F.transform(F.split(text, "\n"), X.stripped), lambda x: x != "")
-    top = F.array_max(counts if counts is not None else X.char_counts(text)) / F.length(text)
-    by_word = X.let(tokens if tokens is not None else X.words(text), lambda w: F.greatest(X.repeated_share(X.ngrams(w, 3)), X.repeated_share(X.ngrams(w, 4))))
-    parts = [top, X.repeated_share(lines), X.repeated_share(X.char_pairs(text)), by_word]
-    return F.when(F.length(text) >= 10, F.greatest(*parts)).otherwise(F.lit(0.0))
+
+def repetition(text: Column, k: Column | None = None) -> Column:
+    """Highest of five: most frequent character, lines, character pairs, word 3-grams and 4-grams; 0 under 10 characters."""
+    k = k if k is not None else counts(text, *REPETITION)
+    n = F.length(text)
+    parts = [k["top"] / n, repeated(k["lines1"], k["lines"]), repeated(k["chars2"], n - 1), repeated(k["words3"], k["words"] - 2), repeated(k["words4"], k["words"] - 3)]
+    return F.when(n >= 10, F.greatest(*parts)).otherwise(F.lit(0.0))
 
 
-def novelty(text: Column) -> Column:
+def novelty(text: Column, lowered: Column | None = None) -> Column:
     """Twice the share of distinct words, at most 1; 0 without words."""
-    tokens = X.words(F.lower(text))
-    return F.least(2 * X.share(F.size(F.array_distinct(tokens)), F.size(tokens)), F.lit(1.0))
+    k = lowered if lowered is not None else counts(F.lower(text), "words", "words1")
+    return F.least(2 * X.share(k["words1"], k["words"]), F.lit(1.0))
 
 
-def gibberish(text: Column, bits: Column | None = None) -> Column:
+def gibberish(text: Column, k: Column | None = None) -> Column:
     """Ten Latin letters or more, with few or many vowels, or long with hardly any variety."""
-    letters = F.regexp_count(text, F.lit("[A-Za-z]"))
-    vowels = F.regexp_count(text, F.lit("[aeiouAEIOU]"))
-    flat = (bits if bits is not None else X.char_entropy(text)) < 2.0
-    odd = lambda n: (n[0] >= 10) & ((X.share(n[1], n[0]) < 0.15) | (X.share(n[1], n[0]) > 0.6) | ((F.length(text) > 50) & flat))
-    return X.let(F.array(letters, vowels), odd)
+    k = k if k is not None else counts(text, "bits", "letters", "vowels")
+    vowels = X.share(k["vowels"], k["letters"])
+    return (k["letters"] >= 10) & ((vowels < 0.15) | (vowels > 0.6) | ((F.length(text) > 50) & (k["bits"] < 2.0)))
 
 
-def broken_encoding(text: Column) -> Column:
-    control = F.regexp_count(text, F.lit(r"[\x{00}-\x{08}\x{0b}\x{0c}\x{0e}-\x{1f}]"))
-    return F.contains(text, F.lit("\ufffd")) | (X.share(control, F.length(text)) > 0.1)
+def broken_encoding(text: Column, k: Column | None = None) -> Column:
+    k = k if k is not None else counts(text, "control")
+    return F.contains(text, F.lit("\ufffd")) | (X.share(k["control"], F.length(text)) > 0.1)
 
 
-def punctuation_share(text: Column) -> Column:
-    return X.share(F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]")), F.length(text))
+def punctuation_share(text: Column, k: Column | None = None) -> Column:
+    k = k if k is not None else counts(text, "punctuation")
+    return X.share(F.coalesce(k["punctuation"], F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]"))), F.length(text))
 
 
-def anomaly_flags(text: Column, tokens: Column | None = None, bits: Column | None = None) -> Column:
+def anomaly_flags(text: Column, tokens: Column | None = None, k: Column | None = None) -> Column:
     """Names of what is odd about a text, in a fixed order."""
+    k = k if k is not None else counts(text, *ANOMALY)
     n = F.length(text)
     checks = [("too_short", n < 10), ("too_long", n > 1_000_000)]
     if tokens is not None:
         checks.append(("too_many_tokens", tokens > 100_000))
-    checks += [("gibberish", gibberish(text, bits)), ("encoding_issues", broken_encoding(text)), ("excessive_punctuation", punctuation_share(text) > 0.3)]
+    checks += [("gibberish", gibberish(text, k)), ("encoding_issues", broken_encoding(text, k)), ("excessive_punctuation", punctuation_share(text, k) > 0.3)]
     return F.array_compact(F.array(*(F.when(c, F.lit(name)) for name, c in checks)))
 
 

@@ -1,7 +1,7 @@
 """Text statistics as Columns: words, n-grams, entropies, repetition, keyword scores.
 
-Everything here is a built-in expression: no shuffle, no Python. Counts of equal elements
-come from runs of a sorted array, which is n log n for texts of any length.
+Built-in expressions without a shuffle; only entropies of characters take counts made on Arrow batches
+(`measures`). Counts of equal words come from runs of a sorted array, which is n log n for texts of any length.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .measures import counts
+
 #: What splits words: Unicode white space, which Java's \s does not cover.
 SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -42,20 +44,6 @@ def ngrams(tokens: Column, n: int, between: str = "\x01") -> Column:
     return let(tokens, grams)
 
 
-def chars(text: Column) -> Column:
-    return F.filter(F.split(text, ""), lambda c: c != "")
-
-
-def longer(grams: Column, c: Column, n: int) -> Column:
-    """n-grams of the characters c from their (n-1)-grams, by two shifted arrays: a substring by index would scan the text anew for each."""
-    count = F.greatest(F.size(c) - n + 1, F.lit(0))
-    return F.zip_with(F.slice(grams, F.lit(1), count), F.slice(c, F.lit(n), count), lambda a, b: F.concat(a, b))
-
-
-def char_pairs(text: Column) -> Column:
-    return let(chars(text), lambda c: longer(c, c, 2))
-
-
 def repeated_share(items: Column) -> Column:
     """1 - distinct / all; 0 for none."""
     return let(items, lambda x: F.when(F.size(x) > 0, 1 - F.size(F.array_distinct(x)).cast("double") / F.size(x)).otherwise(F.lit(0.0)))
@@ -89,25 +77,15 @@ def _normal(counts: Column) -> Column:
     return F.when(F.size(counts) > 1, entropy_bits(counts, total) / F.log2(F.size(counts).cast("double"))).otherwise(F.lit(0.0))
 
 
-def char_counts(text: Column) -> Column:
-    """How often each distinct character stands in the text: the text is scanned once for each of them."""
-
-    def counted(t: Column) -> Column:
-        distinct = F.filter(F.array_distinct(F.split(t, "")), lambda c: c != "")
-        return F.transform(distinct, lambda c: F.length(t) - F.length(F.replace(t, c, F.lit(""))))
-
-    return let(text, counted)
-
-
 def char_entropy(text: Column) -> Column:
     """Bits per character."""
-    text = F.coalesce(text, F.lit(""))
-    return F.abs(entropy_bits(char_counts(text), F.length(text)))  # no -0.0
+    return counts(F.coalesce(text, F.lit("")), "bits")["bits"]
 
 
-def char_entropy_normal(text: Column) -> Column:
-    """Entropy of the lower-cased characters, divided by log2 of their distinct number."""
-    return let(char_counts(F.lower(F.coalesce(text, F.lit("")))), _normal)
+def char_entropy_normal(text: Column, lowered: Column | None = None) -> Column:
+    """Entropy of the lower-cased characters, divided by log2 of their distinct number; their `counts` may be given."""
+    k = lowered if lowered is not None else counts(F.lower(F.coalesce(text, F.lit(""))), "bits", "chars")
+    return F.when(k["chars"] > 1, k["bits"] / F.log2(k["chars"].cast("double"))).otherwise(F.lit(0.0))
 
 
 def hits(lowered: Column | str, phrases: list[str]) -> Column:

@@ -15,6 +15,7 @@ from ..functions import normalize as N
 from ..functions import quality as Q
 from ..functions import text as X
 from ..functions import tokens as K
+from ..functions.measures import counts, repeated
 from .corpus import _hits, _list
 from .registry import query, spread, table
 
@@ -82,7 +83,8 @@ q AS (SELECT *, 0.3 * readability + 0.3 * (1 - repetition) + 0.2 * entropy + 0.2
 
 def message_quality(rows: DataFrame) -> DataFrame:
     t = F.col("t")
-    parts = rows.select("doc_id", "lang", "source", F.length(t).alias("n_chars"), Q.readability(t).alias("readability"), Q.trigram_repetition(t).alias("repetition"), X.char_entropy_normal(t).alias("entropy"), Q.boilerplate(t).alias("boiler"))
+    k = counts(F.lower(t), "bits", "chars", "words", "words3", "boilerplate")
+    parts = rows.select("doc_id", "lang", "source", F.length(t).alias("n_chars"), Q.readability(t).alias("readability"), Q.trigram_repetition(t, k).alias("repetition"), X.char_entropy_normal(t, k).alias("entropy"), Q.boilerplate(t, k).alias("boiler"))
     return parts.withColumn("quality", Q.composite(F.col("readability"), F.col("repetition"), F.col("entropy"), F.col("boiler")))
 
 
@@ -146,7 +148,7 @@ _doc("op_txt_23_entropy_bits", f"SELECT doc_id, round({_entropy('t')}, 6) AS bit
 _SCORE_E = "CASE WHEN e < 2 THEN e / 2 * 0.5 WHEN e > 6 THEN 1 - least((e - 6) / 2, 0.5) ELSE 0.5 + 0.5 * (e - 2) / 4 END"
 _doc("op_txt_24_entropy_score", f"SELECT doc_id, round({_SCORE_E}, 6) AS score FROM (SELECT doc_id, {_entropy('t')} AS e FROM s)", score=lambda t: Q.entropy_score(X.char_entropy(t)))
 _CATEGORIES = {"lower": r"[^\p{Ll}]", "upper": r"[^\p{Lu}]", "digit": "[^0-9]", "space": r"[^ \t\r\n]"}
-_doc("op_txt_25_category_entropy", "SELECT doc_id, " + ", ".join(f"round({_entropy('c_' + n)}, 6) AS {n}" for n in _CATEGORIES) + " FROM (SELECT doc_id, " + ", ".join(f"regexp_replace(t, '{p}', '', 'g') AS c_{n}" for n, p in _CATEGORIES.items()) + " FROM s)", **{n: (lambda p: lambda t: X.char_entropy(F.regexp_replace(t, p, "")))(p) for n, p in _CATEGORIES.items()})
+_doc("op_txt_25_category_entropy", "SELECT doc_id, " + ", ".join(f"round({_entropy('c_' + n)}, 6) AS {n}" for n in _CATEGORIES) + " FROM (SELECT doc_id, " + ", ".join(f"regexp_replace(t, '{p}', '', 'g') AS c_{n}" for n, p in _CATEGORIES.items()) + " FROM s)", **{n: (lambda p: lambda t: X.char_entropy(F.regexp_replace(t, p + "+", "")))(p) for n, p in _CATEGORIES.items()})  # whole runs at once
 
 _REPEAT_SQL = f"""(SELECT doc_id, t, {_WT} AS w, list_filter(list_transform(string_split(t, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') AS ln,
   list_transform(range(1, length(t)), lambda i: t[i:i + 1]) AS pairs, (SELECT max(c) FROM (SELECT count(*) AS c FROM (SELECT unnest(string_split(t, '')) AS ch) WHERE ch <> '' GROUP BY ch)) AS top FROM s)"""
@@ -222,12 +224,11 @@ def repeated_sequences(text: Column, least: int = 10, most: int = 10) -> Column:
 _doc("op_txt_27_repeated_sequences", None, sequences=lambda t: F.array_join(F.transform(repeated_sequences(t), lambda x: F.length(x).cast("string")), ","))
 
 
-def mean_char_repetition(text: Column, most: int = 4) -> Column:
-    def total(c: Column, grams: Column, n: int) -> Column:
-        own = X.repeated_share(grams)
-        return own if n == most else own + X.let(X.longer(grams, c, n + 1), lambda g: total(c, g, n + 1))
-
-    return X.let(X.chars(text), lambda c: total(c, c, 1)) / most
+def mean_char_repetition(text: Column) -> Column:
+    """Mean of the repeated shares of single characters, pairs, triples and fours."""
+    names = ("chars", "chars2", "chars3", "chars4")
+    k, n = counts(text, *names), F.length(text)
+    return sum((repeated(k[c], n - i) for i, c in enumerate(names)), F.lit(0.0)) / len(names)
 
 
 _doc("op_txt_28_mean_char_repetition", "SELECT doc_id, round((" + " + ".join(_repeated(f"g{n}") for n in range(1, 5)) + ") / 4, 6) AS score FROM (SELECT doc_id, " + ", ".join(f"list_transform(range(1, length(t) - {n} + 2), lambda i: t[i:i + {n} - 1]) AS g{n}" for n in range(1, 5)) + " FROM s)", score=mean_char_repetition)
@@ -269,13 +270,11 @@ r AS (SELECT *, greatest(0.0, 0.25 * entropy_score + 0.25 * (1 - repetition) + 0
 
 
 def record_metrics(rows: DataFrame, *more: Column) -> DataFrame:
-    """entropy_score, repetition, gain, risk, flags and quality of each sample, and more Columns over t and its words w: one projection, no shuffle."""
+    """entropy_score, repetition, gain, risk, flags and quality of each sample, and more Columns over t and its counts k, which are made on Arrow batches: no shuffle."""
     t = F.col("t")
-    once = rows.select("doc_id", "lang", "source", "t", X.char_counts(t).alias("cc"), X.words(t).alias("w"))
-    once = once.withColumn("bits", F.abs(X.entropy_bits(F.col("cc"), F.length("t"))))
-    lowered = F.transform("w", F.lower)
-    gain = X.let(lowered, lambda w: F.least(2 * X.share(F.size(F.array_distinct(w)), F.size(w)), F.lit(1.0)))
-    parts = once.select("doc_id", "lang", "source", Q.entropy_score(F.col("bits")).alias("entropy_score"), Q.repetition(t, F.col("cc"), F.col("w")).alias("repetition"), gain.alias("gain"), Q.unsafe(t)[0].alias("risk"), Q.anomaly_flags(t, bits=F.col("bits")).alias("flags"), *more)
+    once = rows.select("doc_id", "lang", "source", "t", counts(t, *Q.REPETITION, *Q.ANOMALY, once=True).alias("k"), counts(F.lower(t), "words", "words1", *L.UNSAFE, once=True).alias("lowered"))
+    k = F.col("k")
+    parts = once.select("doc_id", "lang", "source", Q.entropy_score(k["bits"]).alias("entropy_score"), Q.repetition(t, k).alias("repetition"), Q.novelty(t, F.col("lowered")).alias("gain"), Q.unsafe(t, F.col("lowered"))[0].alias("risk"), Q.anomaly_flags(t, k=k).alias("flags"), *more)
     return parts.withColumn("quality", Q.overall(F.col("entropy_score"), F.col("repetition"), F.col("gain"), F.col("risk"), F.col("flags")))
 
 

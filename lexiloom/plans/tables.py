@@ -275,7 +275,7 @@ def val_01(spark, sf_dir):
 def row_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row metrics of the samples under the reference's names; split, language confidence, tokenizer and duplicate columns have no source here."""
     t, limits = F.col("t"), {"4k": 4096, "8k": 8192, "32k": 32768}
-    more = [F.sha2(t, 256).alias("text_sha256"), F.octet_length(t).alias("raw_bytes"), F.length(t).alias("char_count"), F.size("w").alias("word_count"), (X.occurrences(t, "\n") + 1).alias("line_count"), P.K.char_tokens(t).alias("token_count")]
+    more = [F.sha2(t, 256).alias("text_sha256"), F.octet_length(t).alias("raw_bytes"), F.length(t).alias("char_count"), F.col("k.words").alias("word_count"), (X.occurrences(t, "\n") + 1).alias("line_count"), P.K.char_tokens(t).alias("token_count")]
     rows = P.record_metrics(P.samples(spark, sf_dir), *more).withColumnsRenamed({"doc_id": "sample_id", "lang": "language", "repetition": "repetition_score", "risk": "safety_risk_score", "quality": "quality_score", "flags": "anomaly_flags"})
     n = F.col("token_count")
     return rows.withColumns({f"context_{k}_fit": n <= m for k, m in limits.items()} | {f"truncation_at_{k}": F.greatest(F.lit(0), n - m) for k, m in limits.items()})
