@@ -5,7 +5,8 @@ from __future__ import annotations
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +72,61 @@ def bpe_tokens(text: Column, ranks: str, pattern: str) -> Column:
     return count(text)
 
 
+def whole_text_tokens(spark: SparkSession, path: str, ranks: str, pattern: str) -> DataFrame:
+    """One row, n: tokens of the text that the files under path make in the order of their names, each of whole lines.
+
+    Counts do not add up over any parts, but over those before a line break that follows no white space: a piece of the
+    pattern of byte_bpe_50k holds white space only at its start, and looks no further back. So each split of a file counts what lies
+    between two such breaks; what is before its first and after its last one is put together in order by one task.
+    """
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(*where, "value")
+
+    def count(text: str) -> int:
+        return len(_encoding(ranks, pattern).encode_ordinary(text))
+
+    def split(batches):
+        def row(key, head, held, n):
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+            values = (*key, head, "".join(held), n)
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=["file", "start", "head", "tail", "n"])
+
+        key, head, held, n = None, None, [], 0
+        for batch in batches:
+            for now, line in zip(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True), batch.column("value").to_pylist(), strict=True):
+                if now != key:
+                    if key is not None:
+                        yield row(key, head, held, n)
+                    key, head, held, n = now, None, [], 0
+                held.append(line)
+                if line and not line[-1].isspace():
+                    text = "".join(held)
+                    if head is None:
+                        head = text
+                    else:
+                        n += count(text)
+                    held = []
+                held.append("\n")
+        if key is not None:
+            yield row(key, head, held, n)
+
+    def joined(batches):
+        held, n = [], 0
+        for batch in batches:
+            for r in batch.to_pylist():
+                n += r["n"]
+                if r["head"] is not None:
+                    held.append(r["head"])
+                    n += count("".join(held))
+                    held = []
+                held.append(r["tail"])
+        n += count("".join(held))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    parts = lines.mapInArrow(split, "file string, start long, head string, tail string, n long")
+    return parts.repartition(1).sortWithinPartitions("file", "start").mapInArrow(joined, "n long")
+
+
 def with_token_counts(rows: DataFrame, text: str, count, name: str) -> DataFrame:
     """Counts each distinct text once: repeated texts meet by digest before the tokenizer runs."""
     keyed = rows.withColumn("_h", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))

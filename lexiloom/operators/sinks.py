@@ -26,6 +26,41 @@ def to_json_lines(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).json(path)
 
 
+def to_json_arrays(texts: DataFrame, path: str, most: int = 4 << 20) -> None:
+    """One column of JSON texts as files that hold one array each, of about `most` bytes or one longer text: any task writes and later reads no more at once."""
+    name = texts.columns[0]
+
+    def run(batches):
+        import pyarrow as pa
+
+        def array(parts):
+            return pa.RecordBatch.from_arrays([pa.array(["[" + ",\n".join(parts) + "]"])], names=["value"])
+
+        held, size = [], 0
+        for batch in batches:
+            for t in batch.column(name):
+                text = t.as_py()
+                if held and size + len(text) > most:
+                    yield array(held)
+                    held, size = [], 0
+                held.append(text)
+                size += len(text)
+        if held:
+            yield array(held)
+
+    texts.where(F.col(name).isNotNull()).mapInArrow(run, "value string").write.option("maxRecordsPerFile", 1).text(path)
+
+
+def to_text_array(texts: DataFrame, path: str) -> None:
+    """One column of JSON texts, all different, as one array whose text goes over part files in the order of their names; the table is read twice."""
+    value = F.col(texts.columns[0])
+    low, high = texts.agg(F.min(value), F.max(value)).first()
+    if low is None:
+        return texts.sparkSession.range(1).select(F.lit("[]")).write.text(path)
+    line = F.concat(F.when(value == low, "[").otherwise(""), value, F.when(value == high, "]").otherwise(","))
+    return texts.where(value.isNotNull()).orderBy(value).select(line).write.text(path)
+
+
 def artifact(row: DataFrame) -> str:
     """A one-row result as a JSON text."""
     return row.toJSON().first()

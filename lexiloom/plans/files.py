@@ -14,6 +14,7 @@ from ..operators import sinks as W
 from ..operators import validate as V
 from ..sources import discover as D
 from ..sources import exports as E
+from ..storage import written
 from . import samples as P
 from . import tables as T
 from .corpus import _BASE as _MSGS
@@ -65,10 +66,13 @@ def snk_07(spark, sf_dir):
 
 
 def _written_export(spark: SparkSession, sf_dir: str, provider: str, as_array: bool) -> str:
-    """Export files of a provider in a new shared folder: JSON lines, or one array of all conversations."""
+    """Export files of a provider in a new shared folder: JSON lines, or arrays of conversations."""
     base = folder(spark)
     raw = T.raw_exports(spark, sf_dir, provider)
-    (_as_array(raw, "raw") if as_array else raw.coalesce(1)).write.text(base)
+    if as_array:
+        W.to_json_arrays(raw, base)
+    else:
+        raw.write.text(base)
     return base
 
 
@@ -138,7 +142,7 @@ def src_12(spark, sf_dir):
 
 
 def _as_array(rows: DataFrame, column: str) -> DataFrame:
-    """All JSON texts as one array: an export is one file by its nature."""
+    """The JSON texts of a small table as one array."""
     return rows.agg(F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(column)), ",\n"), F.lit("]")).alias(column)).coalesce(1)
 
 
@@ -150,7 +154,7 @@ UNION ALL SELECT 'users.json', n, sha256(body) FROM users UNION ALL SELECT 'proj
 def src_14(spark, sf_dir):
     """A folder with conversations.json and two side files, of which one is no list: messages by conversation, counts and hashes of the side files."""
     base = folder(spark)
-    _as_array(T.raw_exports(spark, sf_dir, "claude"), "raw").write.text(f"{base}/conversations.json")
+    W.to_json_arrays(T.raw_exports(spark, sf_dir, "claude"), f"{base}/conversations.json")
     _as_array(table(spark, sf_dir, "nation").select(F.to_json(F.array("n_name")).alias("v")).select(F.expr("substring(v, 2, length(v) - 2)").alias("v")), "v").write.text(f"{base}/users.json")
     spark.range(1).select(F.lit("{}")).coalesce(1).write.text(f"{base}/projects.json")
     messages, side = D.claude_folder(spark, base)
@@ -162,7 +166,7 @@ def src_14(spark, sf_dir):
 def src_17(spark, sf_dir):
     """Each provider's export found among others of its folder and read."""
     base, out = folder(spark), []
-    put = lambda provider, name: _as_array(T.raw_exports(spark, sf_dir, provider), "raw").write.text(f"{base}/{provider}/{name}")
+    put = lambda provider, name: W.to_json_arrays(T.raw_exports(spark, sf_dir, provider), f"{base}/{provider}/{name}")
     spark.range(1).select(F.lit("[]")).write.text(f"{base}/claude/old/conversations.json")
     spark.range(1).select(F.lit("[]")).write.text(f"{base}/claude/claude_conversations.json")
     put("claude", "new/conversations.json")
@@ -211,12 +215,12 @@ def tok_02(spark, sf_dir):
 
 @query("op_tok_09_whole_file", "SELECT 1 AS files, CAST(1 AS BIGINT) AS at_least FROM region LIMIT 1")
 def tok_09(spark, sf_dir):
-    """Tokens of a whole file as one text: counts of a byte-pair vocabulary do not add up over parts."""
+    """Tokens of a whole export as one text, whose parts in the order of their names are the array of all conversations."""
     import public_tokenizers as tok
 
-    path = _written_export(spark, sf_dir, "chatgpt", True)
-    whole = spark.read.text(path, wholetext=True)
-    n = whole.select(K.bpe_tokens(F.col("value"), tok.path("byte_bpe_50k.tiktoken"), tok.PATTERN).alias("n"))
+    path = folder(spark)
+    W.to_text_array(written(T.raw_exports(spark, sf_dir, "chatgpt"), "raw"), path)
+    n = K.whole_text_tokens(spark, path, tok.path("byte_bpe_50k.tiktoken"), tok.PATTERN)
     return n.agg(F.count("*").cast("int").alias("files"), F.min(F.least(F.col("n"), F.lit(1))).alias("at_least"))
 
 
